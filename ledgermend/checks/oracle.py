@@ -276,8 +276,8 @@ ORACLE_SQL: dict[str, str] = {
     "ledger_rollup": _query("SELECT * FROM moved JOIN driven USING (customer_id)"),
     "ledger_monthly_losses": _query("SELECT * FROM lost_by_month"),
     "id_list_text": _query(
-        f"""SELECT customer_id, {_id_list('CAST(l_suppkey AS VARCHAR)')} AS supplier_ids,
-                {_id_list('CAST(nullif(l_linenumber, 7) AS VARCHAR)')} AS line_numbers
+        f"""SELECT customer_id, {_id_list('CAST(l_suppkey AS VARCHAR)')} AS reference_number,
+                {_id_list('CAST(nullif(l_linenumber, 7) AS VARCHAR)')} AS contract_id
             FROM sold_lines GROUP BY customer_id"""
     ),
     "id_list_distinct_text": _query(

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermend.checks import roles
-from ledgermend.checks.roles import CONFIG
-from ledgermend.config import Period
+from ledgermend.checks.roles import CONFIG, Tables
+from ledgermend.config import Period, ReconConfig
 from ledgermend.functions.money import parse_amount, parse_prefixed_amount
 from ledgermend.functions.periods import in_period
 from ledgermend.operators import rollups
@@ -20,22 +20,38 @@ from ledgermend.plans import bookings, losses, reconciliation
 from ledgermend.sources.contracts import ReconInputs
 
 Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 
 
-def amount_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    booked = roles.booking_lines(spark, sf_dir).select(
+def _over_tables(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+    """Registers a query on the driver's tables under the function's name."""
+    QUERIES[build.__name__] = lambda spark, sf_dir: build(roles.tables(spark, sf_dir))
+    return build
+
+
+def _plan(name: str, build: Callable[[ReconInputs, ReconConfig], DataFrame], *unused: str) -> None:
+    """Registers a plan over all roles, without its ``unused`` columns."""
+    QUERIES[name] = lambda spark, sf_dir: build(
+        roles.inputs(roles.tables(spark, sf_dir)), CONFIG
+    ).drop(*unused)
+
+
+@_over_tables
+def amount_parse(tables: Tables) -> DataFrame:
+    booked = roles.booking_lines(tables).select(
         "opportunity_id", parse_prefixed_amount(F.col("amount_local_text")).alias("amount")
     )
-    lost = roles.loss_lines(spark, sf_dir).select(
+    lost = roles.loss_lines(tables).select(
         "opportunity_id", parse_amount(F.col("amount_text")).alias("amount")
     )
     return booked.unionByName(lost)
 
 
-def period_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+@_over_tables
+def period_filter(tables: Tables) -> DataFrame:
     """Losses of the quarter's months in any year, marked where the year matches too."""
     quarter = Period(months=CONFIG.losses.current.month_numbers())
-    lines = rollups.losses_in_period(roles.loss_lines(spark, sf_dir), quarter)
+    lines = rollups.losses_in_period(roles.loss_lines(tables), quarter)
     return lines.select(
         KEY,
         "opportunity_id",
@@ -45,9 +61,10 @@ def period_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def category_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+@_over_tables
+def category_map(tables: Tables) -> DataFrame:
     category = F.col("bridge_account")
-    return roles.movement_ledger(spark, sf_dir).select(
+    return roles.movement_ledger(tables).select(
         KEY,
         F.col("snapshot_date").cast("date").alias("snapshot_date"),
         "bridge_account",
@@ -56,86 +73,65 @@ def category_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def booking_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.booking_rollup(roles.booking_lines(spark, sf_dir), CONFIG.bookings)
+@_over_tables
+def booking_rollup(tables: Tables) -> DataFrame:
+    return rollups.booking_rollup(roles.booking_lines(tables), CONFIG.bookings)
 
 
-def loss_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.loss_rollup(roles.loss_lines(spark, sf_dir), CONFIG.losses)
+@_over_tables
+def loss_rollup(tables: Tables) -> DataFrame:
+    return rollups.loss_rollup(roles.loss_lines(tables), CONFIG.losses)
 
 
-def prior_period_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = roles.booking_lines(spark, sf_dir)
-    return rollups.prior_period_rollup(history, history, CONFIG.bookings)
+@_over_tables
+def prior_period_rollup(tables: Tables) -> DataFrame:
+    history = roles.booking_lines(tables)
+    return rollups.rollup(rollups.prior_booking_measures(history, history, CONFIG.bookings))
 
 
-def loss_history_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.loss_history_rollup(roles.loss_history(spark, sf_dir), CONFIG.losses)
+@_over_tables
+def loss_history_rollup(tables: Tables) -> DataFrame:
+    return rollups.rollup(
+        rollups.loss_history_measures(roles.loss_history(tables), CONFIG.losses)
+    )
 
 
-def ledger_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+@_over_tables
+def ledger_rollup(tables: Tables) -> DataFrame:
     drivers = {**CONFIG.bookings.drivers, **CONFIG.losses.drivers}
-    return rollups.ledger_rollup(roles.movement_ledger(spark, sf_dir), CONFIG, drivers)
+    return rollups.ledger_rollup(roles.movement_ledger(tables), CONFIG, drivers)
 
 
-def ledger_monthly_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.ledger_monthly_losses(roles.movement_ledger(spark, sf_dir), CONFIG)
+@_over_tables
+def ledger_monthly_losses(tables: Tables) -> DataFrame:
+    return rollups.ledger_monthly_losses(roles.movement_ledger(tables), CONFIG)
 
 
-def id_list_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All lines of all years: duplicates and missing ids stay in the lists."""
-    lines = roles.lines_with_customer(spark, sf_dir).select(
-        F.col("o_custkey").cast("string").alias(KEY),
-        "l_suppkey",
-        F.nullif(F.col("l_linenumber"), F.lit(7)).alias("l_linenumber"),
-    )
-    return id_lists(
-        lines, {"supplier_ids": F.col("l_suppkey"), "line_numbers": F.col("l_linenumber")}
-    )
+@_over_tables
+def id_list_text(tables: Tables) -> DataFrame:
+    """All lines of all years; duplicates and missing ids stay in the lists."""
+    return id_lists(roles.audit_lines(tables), ["reference_number", "contract_id"])
+
+
+@_over_tables
+def id_list_distinct_text(tables: Tables) -> DataFrame:
+    return audit_lists(roles.audit_lines(tables, roles.CURRENT))
+
+
+def _with_audit_refs(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
+    return attach_audit_refs(reconciliation.merged_branches(inputs, config), inputs.audit_refs)
 
 
-def id_list_distinct_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit_lists(roles.audit_refs(spark, sf_dir))
-
-
-def attach_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = roles.inputs(spark, sf_dir)
-    return attach_audit_refs(reconciliation.merged_branches(inputs, CONFIG), inputs.audit_refs)
-
-
-def _plan(build: Callable[[ReconInputs, object], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(roles.inputs(spark, sf_dir), CONFIG)
-
-
-QUERIES: dict[str, Query] = {
-    "amount_parse": amount_parse,
-    "period_filter": period_filter,
-    "category_map": category_map,
-    "booking_rollup": booking_rollup,
-    "loss_rollup": loss_rollup,
-    "prior_period_rollup": prior_period_rollup,
-    "loss_history_rollup": loss_history_rollup,
-    "ledger_rollup": ledger_rollup,
-    "ledger_monthly_losses": ledger_monthly_losses,
-    "id_list_text": id_list_text,
-    "id_list_distinct_text": id_list_distinct_text,
-    "spine_variance": _plan(bookings.spine_variance),
-    "bookings_stage1": _plan(bookings.materiality_stage),
-    "bookings_stage2": _plan(bookings.prior_period_stage),
-    "bookings_stage3": _plan(bookings.driver_stage),
-    "reconcile_bookings": _plan(bookings.reconcile_bookings),
-    "losses_stage1": _plan(
-        lambda inputs, config: losses.materiality_stage(inputs, config).drop("monthly_losses")
-    ),
-    "losses_stage2": _plan(
-        lambda inputs, config: losses.prior_period_stage(inputs, config).drop("monthly_losses")
-    ),
-    "losses_stage3": _plan(
-        lambda inputs, config: losses.driver_stage(inputs, config).drop("monthly_losses")
-    ),
-    "losses_stage4": _plan(losses.monthly_stage),
-    "reconcile_losses": _plan(losses.reconcile_losses),
-    "merge_branches": _plan(reconciliation.merged_branches),
-    "attach_audit_refs": attach_refs,
-    "reconciliation": _plan(reconciliation.reconcile),
-}
+_plan("spine_variance", bookings.spine_variance, "prev1_usd", "prev2_usd")
+_plan("bookings_stage1", bookings.materiality_stage, "prev1_usd", "prev2_usd")
+_plan("bookings_stage2", bookings.prior_period_stage)
+_plan("bookings_stage3", bookings.driver_stage)
+_plan("reconcile_bookings", bookings.reconcile_bookings)
+_plan("losses_stage1", losses.materiality_stage, "prev1_usd", "prev2_usd", "monthly_losses")
+_plan("losses_stage2", losses.prior_period_stage, "monthly_losses")
+_plan("losses_stage3", losses.driver_stage, "monthly_losses")
+_plan("losses_stage4", losses.monthly_stage)
+_plan("reconcile_losses", losses.reconcile_losses)
+_plan("merge_branches", reconciliation.merged_branches)
+_plan("attach_audit_refs", _with_audit_refs)
+_plan("reconciliation", reconciliation.reconcile)

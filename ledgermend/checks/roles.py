@@ -7,12 +7,14 @@ goods came back. Return flag and line status together form the ledger category.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermend.config import BookingRules, LossRules, Period, ReconConfig
+from ledgermend.functions.periods import in_period
 from ledgermend.sources.contracts import ReconInputs, conform
 
 CURRENT = Period(date(1997, 10, 1), date(1997, 12, 31))
@@ -50,108 +52,108 @@ CONFIG = ReconConfig(
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+@dataclass(frozen=True)
+class Tables:
+    customer: DataFrame
+    orders: DataFrame
+    lineitem: DataFrame
 
+    def sold_lines(self) -> DataFrame:
+        """Order lines with their customer."""
+        owner = self.orders.select("o_orderkey", "o_custkey")
+        return self.lineitem.join(owner, F.expr("l_orderkey = o_orderkey"))
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name")
+
+def tables(spark: SparkSession, sf_dir: str) -> Tables:
+    return Tables(
+        *(spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in Tables.__annotations__)
     )
 
 
-def booking_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where(F.col("o_orderstatus").isin("O", "P"))
+def customers(source: Tables) -> DataFrame:
+    return source.customer.selectExpr("c_custkey AS customer_id", "c_name AS name")
+
+
+def booking_lines(source: Tables) -> DataFrame:
     return conform(
-        orders.select(
-            F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderkey").alias("opportunity_id"),
-            F.col("o_orderdate").alias("close_date"),
-            F.col("o_totalprice").alias("recurring_revenue"),
-            F.concat(F.lit("USD "), F.format_number("o_totalprice", 2)).alias("amount_local_text"),
-            F.col("o_orderdate").alias("start_date"),
+        source.orders.where("o_orderstatus IN ('O', 'P')").selectExpr(
+            "o_custkey AS customer_id",
+            "o_orderkey AS opportunity_id",
+            "o_orderdate AS close_date",
+            "o_totalprice AS recurring_revenue",
+            "concat('USD ', format_number(o_totalprice, 2)) AS amount_local_text",
+            "o_orderdate AS start_date",
         ),
         "booking_lines",
     )
 
 
-def loss_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
+def loss_lines(source: Tables) -> DataFrame:
     return conform(
-        orders.select(
-            F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderkey").alias("opportunity_id"),
-            F.col("o_orderdate").alias("contract_start"),
-            F.format_number(-F.col("o_totalprice"), 2).alias("amount_text"),
-            (-F.col("o_totalprice")).alias("baseline_converted"),
+        source.orders.where("o_orderstatus = 'F'").selectExpr(
+            "o_custkey AS customer_id",
+            "o_orderkey AS opportunity_id",
+            "o_orderdate AS contract_start",
+            "format_number(-o_totalprice, 2) AS amount_text",
+            "-o_totalprice AS baseline_converted",
         ),
         "loss_lines",
     )
 
 
-def loss_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
+def loss_history(source: Tables) -> DataFrame:
     return conform(
-        orders.select(
-            F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderdate").alias("contract_start"),
-            (-F.col("o_totalprice")).alias("loss_usd"),
+        source.orders.where("o_orderstatus = 'F'").selectExpr(
+            "o_custkey AS customer_id", "o_orderdate AS contract_start", "-o_totalprice AS loss_usd"
         ),
         "loss_history",
     )
 
 
-def lines_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    lines = table(spark, sf_dir, "lineitem")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-
-
-def movement_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sign = F.when(F.col("l_returnflag") == "R", -1.0).otherwise(1.0)
+def movement_ledger(source: Tables) -> DataFrame:
+    returned = "IF(l_returnflag = 'R', -1D, 1D)"
     return conform(
-        lines_with_customer(spark, sf_dir).select(
-            F.col("o_custkey").alias("customer_id"),
-            F.lit("line").alias("row_type"),
-            F.col("l_shipdate").alias("snapshot_date"),
-            F.concat("l_returnflag", "l_linestatus").alias("bridge_account"),
-            (sign * F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("arr_usd"),
-            (sign * F.col("l_extendedprice")).alias("arr_lcu"),
+        source.sold_lines().selectExpr(
+            "o_custkey AS customer_id",
+            f"'{CONFIG.ledger_row_type}' AS row_type",
+            "l_shipdate AS snapshot_date",
+            "concat(l_returnflag, l_linestatus) AS bridge_account",
+            f"{returned} * l_extendedprice * (1 - l_discount) AS arr_usd",
+            f"{returned} * l_extendedprice AS arr_lcu",
         ),
         "movement_ledger",
     )
 
 
-def audit_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """References of the reconciled quarter; line 7 stands for a missing contract."""
-    lines = lines_with_customer(spark, sf_dir)
-    shipped = (F.col("l_shipdate") >= F.lit(CURRENT.start)) & (
-        F.col("l_shipdate") < F.lit(date(1998, 1, 1))
-    )
+def audit_lines(source: Tables, period: Period | None = None) -> DataFrame:
+    """Supplier and line number of order lines; line 7 stands for a missing contract."""
+    lines = source.sold_lines()
+    if period is not None:
+        lines = lines.where(in_period(period, F.col("l_shipdate")))
     return conform(
-        lines.where(shipped).select(
-            F.col("o_custkey").alias("customer_id"),
-            F.col("l_suppkey").alias("reference_number"),
-            F.nullif(F.col("l_linenumber"), F.lit(7)).alias("contract_id"),
+        lines.selectExpr(
+            "o_custkey AS customer_id",
+            "l_suppkey AS reference_number",
+            "nullif(l_linenumber, 7) AS contract_id",
         ),
         "audit_refs",
     )
 
 
-def inputs(spark: SparkSession, sf_dir: str) -> ReconInputs:
-    spine = customers(spark, sf_dir)
-    ledger = movement_ledger(spark, sf_dir)
-    bookings = booking_lines(spark, sf_dir)
-    history = conform(bookings, "booking_history")
+def inputs(source: Tables) -> ReconInputs:
+    """All roles; the audit references are those of the reconciled quarter."""
+    spine = customers(source)
+    ledger = movement_ledger(source)
+    bookings = booking_lines(source)
     return ReconInputs(
         booking_customers=conform(spine, "booking_customers"),
         booking_lines=bookings,
-        booking_history_prev1=history,
-        booking_history_prev2=history,
+        booking_history_prev1=bookings,
+        booking_history_prev2=bookings,
         booking_ledger=ledger,
         loss_customers=conform(spine, "loss_customers"),
-        loss_lines=loss_lines(spark, sf_dir),
-        loss_history=loss_history(spark, sf_dir),
+        loss_lines=loss_lines(source),
+        loss_history=loss_history(source),
         loss_ledger=ledger,
-        audit_refs=audit_refs(spark, sf_dir),
+        audit_refs=audit_lines(source, CURRENT),
     )

@@ -13,14 +13,16 @@ _NEEDS_QUOTES = r'[\s,{}"\\]'
 _TO_ESCAPE = r'(["\\])'
 
 
-def element_text(identifier: Column) -> Column:
-    """An identifier as a list element: quoted where ambiguous, braces removed."""
+def element_text(name: str) -> Column:
+    """The identifier in column ``name`` as a list element.
+
+    Quoted where its text would be ambiguous; braces are removed at last.
+    """
+    identifier = F.col(name)
     ambiguous = (
         (identifier == "") | (F.upper(identifier) == NULL_TEXT) | identifier.rlike(_NEEDS_QUOTES)
     )
-    quoted = F.concat(
-        F.lit('"'), F.regexp_replace(identifier, _TO_ESCAPE, r"\\$1"), F.lit('"')
-    )
+    quoted = F.concat(F.lit('"'), F.regexp_replace(name, _TO_ESCAPE, r"\\$1"), F.lit('"'))
     text = F.when(ambiguous, quoted).otherwise(F.coalesce(identifier, F.lit(NULL_TEXT)))
     return F.regexp_replace(text, "[{}]", "")
 

@@ -23,24 +23,19 @@ def parse_prefixed_amount(text: Column) -> Column:
     return parse_amount(F.trim(F.substring(text, CURRENCY_PREFIX_LENGTH + 1, 2**31 - 1)))
 
 
-def exact_sum(amount: Column) -> Column:
-    """Sum of a double column that does not depend on the order of addition.
+def exact_sum(amount: str) -> Column:
+    """Sum of the double column ``amount``, whatever the order of addition.
 
     Whole units and millionths are added as two long sums, so a retried or
     re-coalesced shuffle cannot move a total across a threshold, and the sums
     stay inside generated code (decimal sums measured four to six times
     slower). NULL when there is nothing to add, as for a plain sum.
     """
-    whole = F.floor(amount)
-    micros = F.rint((amount - whole) * _MICROS_PER_UNIT).cast("long")
-    total = F.sum(whole).cast("decimal(20,0)") + F.sum(micros).cast("decimal(20,0)") * F.lit(
-        Decimal(1) / _MICROS_PER_UNIT
+    micros = f"CAST(rint(({amount} - floor({amount})) * {_MICROS_PER_UNIT}) AS BIGINT)"
+    return F.expr(
+        f"""CAST(CAST(sum(floor({amount})) AS DECIMAL(20, 0))
+            + CAST(sum({micros}) AS DECIMAL(20, 0)) * {Decimal(1) / _MICROS_PER_UNIT} AS DOUBLE)"""
     )
-    return total.cast("double")
-
-
-def filled(amount: Column) -> Column:
-    return F.coalesce(amount, F.lit(0.0))
 
 
 def share_percent(part: Column, whole: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,8 +12,8 @@ from ledgermend.functions.idtext import SEPARATOR, element_text, repeated
 KEY = "customer_id"
 
 
-def id_lists(df: DataFrame, lists: dict[str, Column], distinct: bool = False) -> DataFrame:
-    """One row per customer with, for every entry of ``lists``, its ids as text.
+def id_lists(df: DataFrame, columns: Sequence[str], distinct: bool = False) -> DataFrame:
+    """One row per customer with the ids in each of ``columns`` as a list in text form.
 
     Ids are sorted, NULLs last; duplicates and NULLs are kept, or with
     ``distinct`` reduced to one each. All lists come from one pass over ``df``.
@@ -23,21 +25,13 @@ def id_lists(df: DataFrame, lists: dict[str, Column], distinct: bool = False) ->
     it lies. Only finished pieces, at most one per partition, meet in the end;
     they are as large as the cell they form.
     """
-    names = list(lists)
-    tagged = df.select(
-        KEY,
-        F.explode(
-            F.array(
-                *(
-                    F.struct(F.lit(i).alias("list"), lists[name].cast("string").alias("id"))
-                    for i, name in enumerate(names)
-                )
-            )
-        ).alias("entry"),
-    ).select(KEY, "entry.list", "entry.id")
-
-    counted = tagged.groupBy(KEY, "list", "id").agg(F.count(F.lit(1)).alias("copies"))
-    element = element_text(F.col("id"))
+    texts = F.array(*(F.col(name).cast("string") for name in columns))
+    counted = (
+        df.select(KEY, F.posexplode(texts).alias("list", "id"))
+        .groupBy(KEY, "list", "id")
+        .agg(F.expr("count(1)").alias("copies"))
+    )
+    element = element_text("id")
     pieces = (
         counted.repartitionByRange(KEY, "list", F.col("id").asc_nulls_last())
         .select(
@@ -53,7 +47,7 @@ def id_lists(df: DataFrame, lists: dict[str, Column], distinct: bool = False) ->
     return pieces.groupBy(KEY).agg(
         *(
             _joined(f"CASE WHEN list = {i} THEN text END", "piece").alias(name)
-            for i, name in enumerate(names)
+            for i, name in enumerate(columns)
         )
     )
 

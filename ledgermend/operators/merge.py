@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermend.functions.idtext import NULL_TEXT
-from ledgermend.functions.money import filled
 from ledgermend.operators.idlists import KEY, id_lists
 
 # Result columns in order, with the headers of the report.
@@ -42,61 +41,50 @@ REPORT_HEADERS = {
 }
 
 
-def merge_branches(bookings: DataFrame, losses: DataFrame) -> DataFrame:
-    """Full outer join of the branch results; amounts of an absent side are 0."""
-    b, c = bookings.alias("b"), losses.alias("c")
-
-    def either(name: str) -> Column:
-        return F.coalesce(F.col(f"b.{name}"), F.col(f"c.{name}"))
-
-    def booked(name: str) -> Column:
-        return filled(F.col(f"b.{name}"))
+# Amounts of an absent side are 0; b is the bookings side, c the losses side.
+_MERGED = {
+    "customer_id": "coalesce(b.customer_id, c.customer_id)",
+    "name": "coalesce(b.name, c.name)",
+    "arr_usd": "coalesce(b.arr_usd, c.arr_usd, 0D)",
+    "loss_usd": "coalesce(c.loss_usd, 0D)",
+    "loss_variance_usd": "coalesce(c.diff, 0D)",
+    "booking_usd": "coalesce(b.booking_usd, 0D)",
+    "booking_variance_usd": "coalesce(b.diff, 0D)",
+    "arr_lcu": "coalesce(b.arr_lcu, c.arr_lcu, 0D)",
+    "loss_lcu": "coalesce(c.loss_lcu, 0D)",
+    "loss_variance_lcu": "coalesce(c.arr_lcu - c.loss_lcu, 0D)",
+    "booking_lcu": "coalesce(b.booking_lcu, 0D)",
+    "booking_variance_lcu": "coalesce(b.arr_lcu - b.booking_lcu, 0D)",
+    "start_date": "b.start_date",
+    "opportunity_id": "coalesce(b.opportunity_id, c.opportunity_id)",
+    "reversal": "coalesce(c.reversal, 0D)",
+    "upsell_migration": "coalesce(b.migration, 0D)",
+    "downsell_migration": "coalesce(c.downsell_migration, 0D)",
+    "price_ramp": "coalesce(b.price_ramp, 0D)",
+    "price_uplift": "coalesce(b.price_uplift, 0D)",
+    "winback": "coalesce(b.winback, 0D)",
+    "loss_prev1_usd": "coalesce(c.prev1_usd, 0D)",
+    "loss_prev2_usd": "coalesce(c.prev2_usd, 0D)",
+    "booking_prev1_usd": "coalesce(b.prev1_usd, 0D)",
+    "booking_prev2_usd": "coalesce(b.prev2_usd, 0D)",
+    "loss_label": "c.label",
+    "booking_label": "b.label",
+}
 
-    def lost(name: str) -> Column:
-        return filled(F.col(f"c.{name}"))
 
-    merged = {
-        "customer_id": either(KEY),
-        "name": either("name"),
-        "arr_usd": filled(either("arr_usd")),
-        "loss_usd": lost("loss_usd"),
-        "loss_variance_usd": lost("diff"),
-        "booking_usd": booked("booking_usd"),
-        "booking_variance_usd": booked("diff"),
-        "arr_lcu": filled(either("arr_lcu")),
-        "loss_lcu": lost("loss_lcu"),
-        "loss_variance_lcu": filled(F.col("c.arr_lcu") - F.col("c.loss_lcu")),
-        "booking_lcu": booked("booking_lcu"),
-        "booking_variance_lcu": filled(F.col("b.arr_lcu") - F.col("b.booking_lcu")),
-        "start_date": F.col("b.start_date"),
-        "opportunity_id": either("opportunity_id"),
-        "reversal": lost("reversal"),
-        "upsell_migration": booked("migration"),
-        "downsell_migration": lost("downsell_migration"),
-        "price_ramp": booked("price_ramp"),
-        "price_uplift": booked("price_uplift"),
-        "winback": booked("winback"),
-        "loss_prev1_usd": lost("prev1_usd"),
-        "loss_prev2_usd": lost("prev2_usd"),
-        "booking_prev1_usd": booked("prev1_usd"),
-        "booking_prev2_usd": booked("prev2_usd"),
-        "loss_label": F.col("c.label"),
-        "booking_label": F.col("b.label"),
-    }
-    return b.join(c, F.col(f"b.{KEY}") == F.col(f"c.{KEY}"), "full_outer").select(
-        *(column.alias(name) for name, column in merged.items())
+def merge_branches(bookings: DataFrame, losses: DataFrame) -> DataFrame:
+    """Full outer join of the branch results, one column list for both."""
+    same_customer = F.expr("b.customer_id = c.customer_id")
+    return (
+        bookings.alias("b")
+        .join(losses.alias("c"), same_customer, "full_outer")
+        .selectExpr(*(f"{rule} AS {name}" for name, rule in _MERGED.items()))
     )
 
 
 def audit_lists(refs: DataFrame) -> DataFrame:
-    return id_lists(
-        refs.where(F.col(KEY).isNotNull()),
-        {
-            "reference_number": F.col("reference_number"),
-            "contract_id": F.col("contract_id"),
-        },
-        distinct=True,
-    )
+    known = refs.where("customer_id IS NOT NULL")
+    return id_lists(known, ["reference_number", "contract_id"], distinct=True)
 
 
 def attach_audit_refs(merged: DataFrame, refs: DataFrame) -> DataFrame:
@@ -105,20 +93,18 @@ def attach_audit_refs(merged: DataFrame, refs: DataFrame) -> DataFrame:
     Repeated rows are removed after the join: it has already placed all rows
     of a customer together.
     """
+    texts = {
+        name: f"coalesce({name}, '{NULL_TEXT}') AS {name}"
+        for name in ("reference_number", "contract_id")
+    }
     return (
         merged.join(audit_lists(refs), KEY, "left")
-        .withColumns(
-            {
-                name: F.coalesce(F.col(name), F.lit(NULL_TEXT))
-                for name in ("reference_number", "contract_id")
-            }
-        )
+        .selectExpr(*(texts.get(name, name) for name in REPORT_HEADERS))
         .distinct()
-        .select(*REPORT_HEADERS)
     )
 
 
 def with_report_headers(result: DataFrame) -> DataFrame:
-    return result.select(
-        *(F.col(name).alias(header) for name, header in REPORT_HEADERS.items())
+    return result.selectExpr(
+        *(f"{name} AS `{header}`" for name, header in REPORT_HEADERS.items())
     )

@@ -1,4 +1,4 @@
-"""One row per customer from each source table.
+"""One row per customer from the source tables.
 
 Every rollup is a hash aggregation with a map-side partial step, so a customer
 that owns a large share of a table sends one partial row per task, not its rows.
@@ -6,7 +6,7 @@ that owns a large share of a table sends one partial row per task, not its rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -15,36 +15,86 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermend.config import BookingRules, LossRules, Period, ReconConfig
-from ledgermend.functions.money import exact_sum, filled, parse_amount, parse_prefixed_amount
+from ledgermend.functions.money import exact_sum, parse_amount, parse_prefixed_amount
 from ledgermend.functions.periods import in_period
 from ledgermend.operators.drivers import driver_of
 from ledgermend.operators.idlists import KEY, id_lists
 
 
-def bookings_in_period(lines: DataFrame, period: Period) -> DataFrame:
-    return lines.where(in_period(period, F.col("close_date"), F.col("close_month")))
+def latest(day: str) -> Column:
+    return F.max(day).cast("date")
 
 
-def booking_amounts(lines: DataFrame, rules: BookingRules) -> DataFrame:
-    return (
-        bookings_in_period(lines, rules.current)
-        .groupBy(KEY)
-        .agg(
-            exact_sum(F.col("recurring_revenue")).alias("booking_usd"),
-            exact_sum(parse_prefixed_amount(F.col("amount_local_text"))).alias("booking_lcu"),
-            F.max("start_date").cast("date").alias("start_date"),
+@dataclass(frozen=True)
+class Measure:
+    """``combine`` over ``value`` of the rows of ``source`` where ``when`` holds."""
+
+    name: str
+    source: DataFrame
+    when: Column
+    value: Column
+    combine: Callable[[str], Column] = exact_sum
+
+
+def rollup(measures: Sequence[Measure]) -> DataFrame:
+    """All measures in one aggregation; sources given as the same object are scanned once.
+
+    A measure is NULL for a customer without rows that count for it. Customers
+    without a row for any measure are absent.
+    """
+    by_source: dict[int, list[Measure]] = {}
+    for measure in measures:
+        by_source.setdefault(id(measure.source), []).append(measure)
+
+    def contribution(own: list[Measure]) -> DataFrame:
+        conditions = {id(measure.when): measure.when for measure in own}
+        only_one = len(conditions) == 1
+        values = {
+            m.name: m.value if only_one else F.when(m.when, m.value).alias(m.name) for m in own
+        }
+        return (
+            own[0]
+            .source.where(reduce(or_, conditions.values()))
+            .select(KEY, *(value.alias(name) for name, value in values.items()))
         )
+
+    stacked = reduce(
+        lambda left, right: left.unionByName(right, allowMissingColumns=True),
+        map(contribution, by_source.values()),
     )
+    return stacked.groupBy(KEY).agg(
+        *(measure.combine(measure.name).alias(measure.name) for measure in measures)
+    )
+
+
+def closed_in(period: Period) -> Column:
+    return in_period(period, F.col("close_date"), F.col("close_month"))
+
+
+def booking_measures(lines: DataFrame, rules: BookingRules) -> list[Measure]:
+    current = closed_in(rules.current)
+    return [
+        Measure("booking_usd", lines, current, F.col("recurring_revenue")),
+        Measure("booking_lcu", lines, current, parse_prefixed_amount(F.col("amount_local_text"))),
+        Measure("start_date", lines, current, F.col("start_date"), latest),
+    ]
+
+
+def prior_booking_measures(
+    prev1: DataFrame, prev2: DataFrame, rules: BookingRules
+) -> list[Measure]:
+    return [
+        Measure("prev1_usd", prev1, closed_in(rules.prev1), F.col("recurring_revenue")),
+        Measure("prev2_usd", prev2, closed_in(rules.prev2), F.col("recurring_revenue")),
+    ]
 
 
 def booking_ids(lines: DataFrame, rules: BookingRules) -> DataFrame:
-    return id_lists(
-        bookings_in_period(lines, rules.current), {"opportunity_id": F.col("opportunity_id")}
-    )
+    return id_lists(lines.where(closed_in(rules.current)), ["opportunity_id"])
 
 
 def booking_rollup(lines: DataFrame, rules: BookingRules) -> DataFrame:
-    return _with_ids(booking_amounts(lines, rules), booking_ids(lines, rules))
+    return _with_ids(rollup(booking_measures(lines, rules)), booking_ids(lines, rules))
 
 
 def losses_in_period(lines: DataFrame, period: Period) -> DataFrame:
@@ -52,29 +102,35 @@ def losses_in_period(lines: DataFrame, period: Period) -> DataFrame:
     return (
         lines.where(in_period(period, F.col("contract_start")))
         .withColumn("loss_usd", parse_amount(F.col("amount_text")))
-        .where(F.col("loss_usd") < 0)
+        .where("loss_usd < 0")
     )
 
 
-def loss_amounts(lines: DataFrame, rules: LossRules) -> DataFrame:
-    return (
-        losses_in_period(lines, rules.current)
-        .groupBy(KEY)
-        .agg(
-            exact_sum(F.col("loss_usd")).alias("loss_usd"),
-            exact_sum(F.col("baseline_converted")).alias("loss_lcu"),
-        )
-    )
+def loss_measures(lines: DataFrame, rules: LossRules) -> list[Measure]:
+    current = losses_in_period(lines, rules.current)
+    any_row = F.lit(True)
+    return [
+        Measure("loss_usd", current, any_row, F.col("loss_usd")),
+        Measure("loss_lcu", current, any_row, F.col("baseline_converted")),
+    ]
+
+
+def loss_history_measures(history: DataFrame, rules: LossRules) -> list[Measure]:
+    def lost_in(period: Period) -> Column:
+        return in_period(period, F.col("contract_start")) & (F.col("loss_usd") < 0)
+
+    return [
+        Measure("prev1_usd", history, lost_in(rules.prev1), F.col("loss_usd")),
+        Measure("prev2_usd", history, lost_in(rules.prev2), F.col("loss_usd")),
+    ]
 
 
 def loss_ids(lines: DataFrame, rules: LossRules) -> DataFrame:
-    return id_lists(
-        losses_in_period(lines, rules.current), {"opportunity_id": F.col("opportunity_id")}
-    )
+    return id_lists(losses_in_period(lines, rules.current), ["opportunity_id"])
 
 
 def loss_rollup(lines: DataFrame, rules: LossRules) -> DataFrame:
-    return _with_ids(loss_amounts(lines, rules), loss_ids(lines, rules))
+    return _with_ids(rollup(loss_measures(lines, rules)), loss_ids(lines, rules))
 
 
 def _with_ids(amounts: DataFrame, ids: DataFrame) -> DataFrame:
@@ -83,66 +139,6 @@ def _with_ids(amounts: DataFrame, ids: DataFrame) -> DataFrame:
     return amounts.join(listed, F.col(KEY).eqNullSafe(F.col("listed_for"))).drop("listed_for")
 
 
-@dataclass(frozen=True)
-class PeriodAmount:
-    """``amount`` summed as ``name`` over the rows of ``source`` where ``when`` holds."""
-
-    name: str
-    source: DataFrame
-    when: Column
-    amount: str
-
-
-def period_sums(parts: Sequence[PeriodAmount]) -> DataFrame:
-    """All period sums in one aggregation; each distinct source is scanned once.
-
-    A sum is NULL for a customer without rows in that period.
-    """
-    by_source: dict[int, list[PeriodAmount]] = {}
-    for part in parts:
-        by_source.setdefault(id(part.source), []).append(part)
-
-    def contribution(shared: list[PeriodAmount]) -> DataFrame:
-        here = {part.name: part for part in shared}
-        columns = [
-            F.when(here[part.name].when, F.col(part.amount)).alias(part.name)
-            if part.name in here
-            else F.lit(None).cast("double").alias(part.name)
-            for part in parts
-        ]
-        wanted = reduce(or_, (part.when for part in shared))
-        return shared[0].source.where(wanted).select(KEY, *columns)
-
-    stacked = reduce(DataFrame.unionByName, map(contribution, by_source.values()))
-    return stacked.groupBy(KEY).agg(
-        *(exact_sum(F.col(part.name)).alias(part.name) for part in parts)
-    )
-
-
-def prior_period_rollup(prev1: DataFrame, prev2: DataFrame, rules: BookingRules) -> DataFrame:
-    def closed_in(period: Period) -> Column:
-        return in_period(period, F.col("close_date"), F.col("close_month"))
-
-    return period_sums(
-        [
-            PeriodAmount("prev1_usd", prev1, closed_in(rules.prev1), "recurring_revenue"),
-            PeriodAmount("prev2_usd", prev2, closed_in(rules.prev2), "recurring_revenue"),
-        ]
-    )
-
-
-def loss_history_rollup(history: DataFrame, rules: LossRules) -> DataFrame:
-    def lost_in(period: Period) -> Column:
-        return in_period(period, F.col("contract_start")) & (F.col("loss_usd") < 0)
-
-    return period_sums(
-        [
-            PeriodAmount("prev1_usd", history, lost_in(rules.prev1), "loss_usd"),
-            PeriodAmount("prev2_usd", history, lost_in(rules.prev2), "loss_usd"),
-        ]
-    )
-
-
 def _monthly_loss(period: Period) -> Column:
     return in_period(period, F.col("snapshot_date")) & (F.col("arr_usd") < 0)
 
@@ -150,61 +146,57 @@ def _monthly_loss(period: Period) -> Column:
 def ledger_rollup(
     ledger: DataFrame,
     config: ReconConfig,
-    drivers: dict[str, tuple[str, ...]],
+    drivers: Mapping[str, tuple[str, ...]],
     monthly: Period | None = None,
 ) -> DataFrame:
     """Movement and driver amounts per customer in one pass over the ledger.
 
     With ``monthly``, the same pass also adds up the negative movement of each
     month of that earlier window; ``monthly_losses`` then holds one
-    (month, arr) entry per month that has any, and customers with earlier
+    (month, arr_usd) entry per month that has any, and customers with earlier
     losses only get a row with NULL movement.
     """
     current = in_period(config.ledger_window, F.col("snapshot_date"))
-    wanted = current if monthly is None else current | _monthly_loss(monthly)
-    driver = driver_of(F.col("bridge_account"), drivers)
-    arr, lcu = F.col("arr_usd"), F.col("arr_lcu")
-    sums = [
-        exact_sum(F.when(current, arr)).alias("arr_usd"),
-        exact_sum(F.when(current, lcu)).alias("arr_lcu"),
-        F.max(current).alias("has_movement"),
-        *(
-            exact_sum(F.when(current & (driver == name), arr)).alias(name)
-            for name in drivers
-        ),
-    ]
-    months = monthly.month_numbers() if monthly is not None else ()
-    month = F.month("snapshot_date")
-    sums += [
-        exact_sum(F.when(_monthly_loss(monthly) & (month == number), arr)).alias(f"month_{number}")
-        for number in months
-    ]
+    wanted = current
+    rows = {
+        "current": current,
+        "driver": F.when(current, driver_of(F.col("bridge_account"), drivers)),
+        "arr_usd": F.col("arr_usd"),
+        "arr_lcu": F.col("arr_lcu"),
+    }
+    amounts = {
+        "arr_usd": "CASE WHEN current THEN arr_usd END",
+        "arr_lcu": "CASE WHEN current THEN arr_lcu END",
+        **{name: f"CASE WHEN driver = '{name}' THEN arr_usd END" for name in drivers},
+    }
+    months = ()
+    if monthly is not None:
+        wanted = current | _monthly_loss(monthly)
+        rows["month"] = F.when(_monthly_loss(monthly), F.month("snapshot_date"))
+        months = monthly.month_numbers()
+        amounts |= {f"month_{m}": f"CASE WHEN month = {m} THEN arr_usd END" for m in months}
+
     totals = (
         ledger.where((F.col("row_type") == config.ledger_row_type) & wanted)
+        .select(KEY, *(column.alias(name) for name, column in rows.items()))
         .groupBy(KEY)
-        .agg(*sums)
+        .agg(
+            F.max("current").alias("has_movement"),
+            *(exact_sum(f"({amount})").alias(name) for name, amount in amounts.items()),
+        )
     )
     # A customer with movement but none for a driver has 0 there, not NULL.
     columns = [
-        KEY,
-        "arr_usd",
-        "arr_lcu",
-        *(F.when(F.col("has_movement"), filled(F.col(name))).alias(name) for name in drivers),
+        f"CASE WHEN has_movement THEN coalesce({name}, 0D) END AS {name}" for name in drivers
     ]
     if months:
-        entries = F.array(
-            *(
-                F.when(
-                    F.col(f"month_{number}").isNotNull(),
-                    F.struct(
-                        F.lit(number).alias("month"), F.col(f"month_{number}").alias("arr_usd")
-                    ),
-                )
-                for number in months
-            )
+        entries = ", ".join(
+            f"CASE WHEN month_{m} IS NOT NULL"
+            f" THEN named_struct('month', {m}, 'arr_usd', month_{m}) END"
+            for m in months
         )
-        columns.append(F.array_compact(entries).alias("monthly_losses"))
-    return totals.select(*columns)
+        columns.append(f"array_compact(array({entries})) AS monthly_losses")
+    return totals.selectExpr(KEY, "arr_usd", "arr_lcu", *columns)
 
 
 def ledger_monthly_losses(ledger: DataFrame, config: ReconConfig) -> DataFrame:
@@ -214,5 +206,5 @@ def ledger_monthly_losses(ledger: DataFrame, config: ReconConfig) -> DataFrame:
             (F.col("row_type") == config.ledger_row_type) & _monthly_loss(config.losses.monthly)
         )
         .groupBy(KEY, F.month("snapshot_date").alias("month"))
-        .agg(exact_sum(F.col("arr_usd")).alias("month_arr_usd"))
+        .agg(exact_sum("arr_usd").alias("month_arr_usd"))
     )

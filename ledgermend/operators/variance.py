@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from ledgermend.functions.money import filled
 from ledgermend.operators.idlists import KEY
 
 
@@ -17,29 +15,29 @@ def spine(customers: DataFrame) -> DataFrame:
     without an id match nothing and never pass the movement filter; leaving
     them out also keeps them from piling up in one join partition.
     """
-    return customers.where(F.col(KEY).isNotNull()).select(KEY, "name").distinct()
+    return customers.where("customer_id IS NOT NULL").select(KEY, "name").distinct()
 
 
 def with_variance(
-    customers: DataFrame, crm: DataFrame, ledger: DataFrame, crm_usd: str, sign: int
+    customers: DataFrame, crm: DataFrame, ledger: DataFrame, crm_usd: str, sign: str
 ) -> DataFrame:
-    """Customers whose ledger movement or CRM amount has the given sign, with the gap.
+    """Customers whose ledger movement or CRM amount has ``sign``, ``>`` or ``<``, with the gap.
 
     ``crm`` and ``ledger`` hold one row per customer. Amounts keep their NULLs
     next to the ``*_filled`` columns because the labels tell a missing amount
     from a zero.
     """
-    arr_filled, crm_filled = F.col("arr_filled"), F.col("crm_filled")
     return (
         spine(customers)
         .join(crm, KEY, "left")
         .join(ledger, KEY, "left")
-        .withColumns({"arr_filled": filled(F.col("arr_usd")), "crm_filled": filled(F.col(crm_usd))})
-        .where((arr_filled * sign > 0) | (crm_filled * sign > 0))
-        .withColumn("diff", arr_filled - crm_filled)
-        .withColumn("abs_diff", F.abs("diff"))
+        .selectExpr(
+            "*",
+            "coalesce(arr_usd, 0D) AS arr_filled",
+            f"coalesce({crm_usd}, 0D) AS crm_filled",
+        )
+        .where(f"arr_filled {sign} 0 OR crm_filled {sign} 0")
+        .selectExpr(
+            "*", "arr_filled - crm_filled AS diff", "abs(arr_filled - crm_filled) AS abs_diff"
+        )
     )
-
-
-def one_side_missing(crm_usd: str) -> Column:
-    return F.col(crm_usd).isNull() != F.col("arr_usd").isNull()

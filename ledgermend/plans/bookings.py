@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermend.config import ReconConfig
-from ledgermend.functions.money import filled
 from ledgermend.operators.idlists import KEY
 from ledgermend.operators.labels import (
     booking_driver,
@@ -14,12 +13,13 @@ from ledgermend.operators.labels import (
     booking_materiality,
 )
 from ledgermend.operators.rollups import (
-    booking_amounts,
     booking_ids,
+    booking_measures,
     ledger_rollup,
-    prior_period_rollup,
+    prior_booking_measures,
+    rollup,
 )
-from ledgermend.operators.variance import one_side_missing, with_variance
+from ledgermend.operators.variance import with_variance
 from ledgermend.sources.contracts import ReconInputs
 
 BRANCH_COLUMNS = (
@@ -43,19 +43,28 @@ BRANCH_COLUMNS = (
 
 
 def spine_variance(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
+    """Customers with bookings, earlier bookings and ledger movement side by side."""
     rules, labels = config.bookings, config.labels
-    joined = with_variance(
+    booked = booking_measures(inputs.booking_lines, rules)
+    booked_before = prior_booking_measures(
+        inputs.booking_history_prev1, inputs.booking_history_prev2, rules
+    )
+    one_side_missing = F.expr("(booking_usd IS NULL) <> (arr_usd IS NULL)")
+    return with_variance(
         inputs.booking_customers,
-        booking_amounts(inputs.booking_lines, rules),
+        rollup(booked + booked_before),
         ledger_rollup(inputs.booking_ledger, config, rules.drivers),
         crm_usd="booking_usd",
-        sign=1,
-    )
-    presence = F.when(one_side_missing("booking_usd"), labels.need_to_label).otherwise(
-        labels.both_present
-    )
-    return joined.withColumns(
-        {"booking_lcu": filled(F.col("booking_lcu")), "presence": presence}
+        sign=">",
+    ).withColumns(
+        {
+            "booking_lcu": F.expr("coalesce(booking_lcu, 0D)"),
+            "prev1_usd": F.expr("coalesce(prev1_usd, 0D)"),
+            "prev2_usd": F.expr("coalesce(prev2_usd, 0D)"),
+            "presence": F.when(one_side_missing, labels.need_to_label).otherwise(
+                labels.both_present
+            ),
+        }
     )
 
 
@@ -66,15 +75,8 @@ def materiality_stage(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
 
 
 def prior_period_stage(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
-    rules = config.bookings
-    priors = prior_period_rollup(
-        inputs.booking_history_prev1, inputs.booking_history_prev2, rules
-    )
-    return (
-        materiality_stage(inputs, config)
-        .join(priors, KEY, "left")
-        .withColumns({name: filled(F.col(name)) for name in ("prev1_usd", "prev2_usd")})
-        .withColumn("label", booking_in_prior_period(rules, config.labels))
+    return materiality_stage(inputs, config).withColumn(
+        "label", booking_in_prior_period(config.bookings, config.labels)
     )
 
 

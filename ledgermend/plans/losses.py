@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermend.config import ReconConfig
-from ledgermend.functions.money import filled
 from ledgermend.operators.idlists import KEY
 from ledgermend.operators.labels import (
     loss_driver,
@@ -16,9 +15,10 @@ from ledgermend.operators.labels import (
 )
 from ledgermend.operators.rollups import (
     ledger_rollup,
-    loss_amounts,
-    loss_history_rollup,
+    loss_history_measures,
     loss_ids,
+    loss_measures,
+    rollup,
 )
 from ledgermend.operators.variance import with_variance
 from ledgermend.sources.contracts import ReconInputs
@@ -41,15 +41,17 @@ BRANCH_COLUMNS = (
 
 
 def spine_variance(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
+    """Customers with losses, earlier losses and ledger movement side by side."""
     rules = config.losses
-    joined = with_variance(
+    lost = loss_measures(inputs.loss_lines, rules)
+    lost_before = loss_history_measures(inputs.loss_history, rules)
+    return with_variance(
         inputs.loss_customers,
-        loss_amounts(inputs.loss_lines, rules),
+        rollup(lost + lost_before),
         ledger_rollup(inputs.loss_ledger, config, rules.drivers, rules.monthly),
         crm_usd="loss_usd",
-        sign=-1,
-    )
-    return joined.withColumn("loss_lcu", filled(F.col("loss_lcu")))
+        sign="<",
+    ).withColumn("loss_lcu", F.expr("coalesce(loss_lcu, 0D)"))
 
 
 def materiality_stage(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
@@ -59,19 +61,18 @@ def materiality_stage(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
 
 
 def prior_period_stage(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
-    rules = config.losses
-    return (
-        materiality_stage(inputs, config)
-        .join(loss_history_rollup(inputs.loss_history, rules), KEY, "left")
-        .withColumn("label", loss_in_prior_period(rules, config.labels))
+    return materiality_stage(inputs, config).withColumn(
+        "label", loss_in_prior_period(config.losses, config.labels)
     )
 
 
 def driver_stage(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
-    return (
-        prior_period_stage(inputs, config)
-        .withColumn("label", loss_driver(config.losses, config.labels))
-        .withColumns({name: filled(F.col(name)) for name in ("prev1_usd", "prev2_usd")})
+    return prior_period_stage(inputs, config).withColumns(
+        {
+            "label": loss_driver(config.losses, config.labels),
+            "prev1_usd": F.expr("coalesce(prev1_usd, 0D)"),
+            "prev2_usd": F.expr("coalesce(prev2_usd, 0D)"),
+        }
     )
 
 
@@ -80,16 +81,10 @@ def monthly_stage(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
 
     The months travel with the ledger rollup, so this fan-out needs no join.
     """
-    staged = driver_stage(inputs, config)
     return (
-        staged.withColumn("monthly_loss", F.explode_outer("monthly_losses"))
-        .withColumns(
-            {
-                "month": F.col("monthly_loss.month"),
-                "month_arr_usd": F.col("monthly_loss.arr_usd"),
-            }
-        )
-        .drop("monthly_losses", "monthly_loss")
+        driver_stage(inputs, config)
+        .selectExpr("*", "inline_outer(monthly_losses) AS (month, month_arr_usd)")
+        .drop("monthly_losses")
         .withColumn("label", loss_override(config.losses, config.labels))
     )
 

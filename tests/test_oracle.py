@@ -29,7 +29,7 @@ def canonical(rows, columns):
     def value(v):
         if isinstance(v, float):
             assert not math.isnan(v)
-            return repr(v + 0.0)
+            return repr(v)
         return repr(v)
 
     return sorted(tuple(value(row[i]) for i in order) for row in rows)
