@@ -15,7 +15,7 @@ from ledgermend.functions.periods import in_period
 from ledgermend.operators import rollups
 from ledgermend.operators.drivers import driver_of
 from ledgermend.operators.idlists import KEY, id_lists
-from ledgermend.operators.merge import attach_audit_refs, audit_lists
+from ledgermend.operators.merge import audit_lists
 from ledgermend.plans import bookings, losses, reconciliation
 from ledgermend.sources.contracts import ReconInputs
 
@@ -25,14 +25,14 @@ QUERIES: dict[str, Query] = {}
 
 def _over_tables(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
     """Registers a query on the driver's tables under the function's name."""
-    QUERIES[build.__name__] = lambda spark, sf_dir: build(roles.tables(spark, sf_dir))
+    QUERIES[build.__name__] = lambda spark, sf_dir: build(Tables(spark, sf_dir))
     return build
 
 
 def _plan(name: str, build: Callable[[ReconInputs, ReconConfig], DataFrame], *unused: str) -> None:
     """Registers a plan over all roles, without its ``unused`` columns."""
     QUERIES[name] = lambda spark, sf_dir: build(
-        roles.inputs(roles.tables(spark, sf_dir)), CONFIG
+        roles.inputs(Tables(spark, sf_dir)), CONFIG
     ).drop(*unused)
 
 
@@ -118,10 +118,6 @@ def id_list_distinct_text(tables: Tables) -> DataFrame:
     return audit_lists(roles.audit_lines(tables, roles.CURRENT))
 
 
-def _with_audit_refs(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
-    return attach_audit_refs(reconciliation.merged_branches(inputs, config), inputs.audit_refs)
-
-
 _plan("spine_variance", bookings.spine_variance, "prev1_usd", "prev2_usd")
 _plan("bookings_stage1", bookings.materiality_stage, "prev1_usd", "prev2_usd")
 _plan("bookings_stage2", bookings.prior_period_stage)
@@ -133,5 +129,5 @@ _plan("losses_stage3", losses.driver_stage, "monthly_losses")
 _plan("losses_stage4", losses.monthly_stage)
 _plan("reconcile_losses", losses.reconcile_losses)
 _plan("merge_branches", reconciliation.merged_branches)
-_plan("attach_audit_refs", _with_audit_refs)
+_plan("attach_audit_refs", reconciliation.audited_branches)
 _plan("reconciliation", reconciliation.reconcile)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,9 +55,25 @@ CONFIG = ReconConfig(
 
 @dataclass(frozen=True)
 class Tables:
-    customer: DataFrame
-    orders: DataFrame
-    lineitem: DataFrame
+    """The driver's tables, each read once and only when a role needs it."""
+
+    spark: SparkSession
+    sf_dir: str
+
+    def _read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+    @cached_property
+    def customer(self) -> DataFrame:
+        return self._read("customer")
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self._read("orders")
+
+    @cached_property
+    def lineitem(self) -> DataFrame:
+        return self._read("lineitem")
 
     def sold_lines(self) -> DataFrame:
         """Order lines with their customer."""
@@ -64,12 +81,6 @@ class Tables:
         return self.lineitem.join(owner, F.expr("l_orderkey = o_orderkey"))
 
 
-def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables(
-        *(spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in Tables.__annotations__)
-    )
-
-
 def customers(source: Tables) -> DataFrame:
     return source.customer.selectExpr("c_custkey AS customer_id", "c_name AS name")
 

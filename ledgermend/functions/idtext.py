@@ -16,15 +16,15 @@ _TO_ESCAPE = r'(["\\])'
 def element_text(name: str) -> Column:
     """The identifier in column ``name`` as a list element.
 
-    Quoted where its text would be ambiguous; braces are removed at last.
+    Quoted where its text would be ambiguous, and without braces.
     """
     identifier = F.col(name)
     ambiguous = (
         (identifier == "") | (F.upper(identifier) == NULL_TEXT) | identifier.rlike(_NEEDS_QUOTES)
     )
-    quoted = F.concat(F.lit('"'), F.regexp_replace(name, _TO_ESCAPE, r"\\$1"), F.lit('"'))
-    text = F.when(ambiguous, quoted).otherwise(F.coalesce(identifier, F.lit(NULL_TEXT)))
-    return F.regexp_replace(text, "[{}]", "")
+    escaped = F.regexp_replace(name, _TO_ESCAPE, r"\\$1")
+    quoted = F.concat(F.lit('"'), F.translate(escaped, "{}", ""), F.lit('"'))
+    return F.when(ambiguous, quoted).otherwise(F.coalesce(identifier, F.lit(NULL_TEXT)))
 
 
 def repeated(element: Column, times: Column) -> Column:

@@ -111,27 +111,31 @@ def loss_driver(rules: LossRules, labels: Labels) -> Column:
     )
 
 
+def month_explains(month_arr_usd: Column, rules: LossRules) -> Column:
+    """Whether the ledger loss of an earlier month is about as large as the gap."""
+    share = F.try_divide(F.abs(month_arr_usd), F.col("abs_diff")) * 100.0
+    return F.coalesce(within(share, rules.monthly_share), F.lit(False))
+
+
 def loss_override(rules: LossRules, labels: Labels) -> Column:
-    """Both drivers together, which outrank any earlier label, else a month's ledger loss.
+    """Both drivers together, which outrank any earlier label, else an earlier month's loss.
 
-    Reads ``month_arr_usd`` of one earlier month; NULL stands for no month.
+    Reads the outcome of one earlier month from ``month_explains``.
     """
-    gap = F.col("abs_diff")
-    reversal, migration = F.abs(F.col("reversal")), F.abs(F.col("downsell_migration"))
-    drivers_explain = within(
-        F.try_divide(reversal + migration, gap) * 100.0, rules.override_share
-    )
+    reversal, migration = F.abs("reversal"), F.abs("downsell_migration")
+    share = F.try_divide(reversal + migration, F.col("abs_diff")) * 100.0
     larger = largest_of([(reversal, labels.reversal), (migration, labels.migration)])
 
     loss, movement = F.abs("crm_filled"), F.abs("arr_filled")
     underreported = (loss != 0) & ((movement == 0) | (loss > movement))
-    month_share = F.try_divide(F.abs("month_arr_usd"), gap) * 100.0
     unlabelled = F.col("label").isin(labels.undecided, labels.need_to_label, "")
-    month_explains = underreported & within(month_share, rules.monthly_share)
     return first_match(
         [
-            (drivers_explain, larger),
-            (month_explains & unlabelled, labels.ledger_loss_in_prior_period),
+            (within(share, rules.override_share), larger),
+            (
+                underreported & F.col("month_explains") & unlabelled,
+                labels.ledger_loss_in_prior_period,
+            ),
         ],
         F.col("label"),
     )

@@ -12,6 +12,7 @@ from ledgermend.operators.labels import (
     loss_in_prior_period,
     loss_materiality,
     loss_override,
+    month_explains,
 )
 from ledgermend.operators.rollups import (
     ledger_rollup,
@@ -76,23 +77,41 @@ def driver_stage(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
     )
 
 
-def monthly_stage(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
+def monthly_stage(
+    inputs: ReconInputs, config: ReconConfig, every_month: bool = True
+) -> DataFrame:
     """One row per customer and earlier month with ledger losses, or one without a month.
 
-    The months travel with the ledger rollup, so this fan-out needs no join.
+    The months travel with the ledger rollup, so this fan-out needs no join. A
+    month only matters through whether its loss explains the gap; without
+    ``every_month`` a customer has one row per outcome, two at most, and no
+    month columns.
     """
-    return (
-        driver_stage(inputs, config)
-        .selectExpr("*", "inline_outer(monthly_losses) AS (month, month_arr_usd)")
-        .drop("monthly_losses")
-        .withColumn("label", loss_override(config.losses, config.labels))
+    rules = config.losses
+    staged = driver_stage(inputs, config)
+    if every_month:
+        months = staged.selectExpr("*", "inline_outer(monthly_losses) AS (month, month_arr_usd)")
+        explained = months.withColumn(
+            "month_explains", month_explains(F.col("month_arr_usd"), rules)
+        )
+    else:
+        outcomes = F.transform(
+            "monthly_losses", lambda entry: month_explains(entry["arr_usd"], rules)
+        )
+        explained = staged.withColumn(
+            "month_explains", F.explode_outer(F.array_distinct(outcomes))
+        )
+    return explained.withColumn("label", loss_override(rules, config.labels)).drop(
+        "monthly_losses", "month_explains"
     )
 
 
-def reconcile_losses(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
-    """The labelled customers, once per earlier month with losses, with their loss ids."""
+def reconcile_losses(
+    inputs: ReconInputs, config: ReconConfig, every_month: bool = True
+) -> DataFrame:
+    """The labelled customers with their loss ids, repeated as in ``monthly_stage``."""
     return (
-        monthly_stage(inputs, config)
+        monthly_stage(inputs, config, every_month)
         .join(loss_ids(inputs.loss_lines, config.losses), KEY, "left")
         .select(*BRANCH_COLUMNS)
     )

@@ -11,12 +11,24 @@ from ledgermend.plans.losses import reconcile_losses
 from ledgermend.sources.contracts import ReconInputs
 
 
-def merged_branches(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
-    return merge_branches(reconcile_bookings(inputs, config), reconcile_losses(inputs, config))
+def merged_branches(
+    inputs: ReconInputs, config: ReconConfig, every_month: bool = True
+) -> DataFrame:
+    """Both branches side by side; ``every_month`` as in ``losses.monthly_stage``."""
+    return merge_branches(
+        reconcile_bookings(inputs, config), reconcile_losses(inputs, config, every_month)
+    )
+
+
+def audited_branches(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
+    """The merged branches with audit ids, each row once.
+
+    Repeated rows vanish here, so the branches need not carry every month.
+    """
+    merged = merged_branches(inputs, config, every_month=False)
+    return attach_audit_refs(merged, inputs.audit_refs)
 
 
 def reconcile(inputs: ReconInputs, config: ReconConfig | None = None) -> DataFrame:
-    """One row per customer (two where the earlier months disagree on the loss label)."""
-    config = config or ReconConfig()
-    merged = merged_branches(inputs, config)
-    return with_report_headers(attach_audit_refs(merged, inputs.audit_refs))
+    """The report: one row per customer, two where earlier months disagree on the loss label."""
+    return with_report_headers(audited_branches(inputs, config or ReconConfig()))
