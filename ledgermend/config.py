@@ -32,6 +32,12 @@ class Period:
         if self.start is not None and self.start > self.end:
             raise ValueError("a period must not end before it starts")
 
+    def spanning(self, other: Period) -> Period:
+        """The shortest period around both; without dates the months of either."""
+        if self.start is None or other.start is None:
+            return Period(months=tuple({*self.month_numbers(), *other.month_numbers()}))
+        return Period(min(self.start, other.start), max(self.end, other.end))
+
     def month_numbers(self) -> tuple[int, ...]:
         """Month numbers that can occur in the period, at most twelve."""
         if self.start is None:

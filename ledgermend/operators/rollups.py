@@ -117,11 +117,12 @@ def loss_measures(lines: DataFrame, rules: LossRules) -> list[Measure]:
 
 def loss_history_measures(history: DataFrame, rules: LossRules) -> list[Measure]:
     def lost_in(period: Period) -> Column:
-        return in_period(period, F.col("contract_start")) & (F.col("loss_usd") < 0)
+        return in_period(period, F.col("contract_start"))
 
+    negative = history.where("loss_usd < 0")
     return [
-        Measure("prev1_usd", history, lost_in(rules.prev1), F.col("loss_usd")),
-        Measure("prev2_usd", history, lost_in(rules.prev2), F.col("loss_usd")),
+        Measure("prev1_usd", negative, lost_in(rules.prev1), F.col("loss_usd")),
+        Measure("prev2_usd", negative, lost_in(rules.prev2), F.col("loss_usd")),
     ]
 
 
@@ -139,10 +140,6 @@ def _with_ids(amounts: DataFrame, ids: DataFrame) -> DataFrame:
     return amounts.join(listed, F.col(KEY).eqNullSafe(F.col("listed_for"))).drop("listed_for")
 
 
-def _monthly_loss(period: Period) -> Column:
-    return in_period(period, F.col("snapshot_date")) & (F.col("arr_usd") < 0)
-
-
 def ledger_rollup(
     ledger: DataFrame,
     config: ReconConfig,
@@ -157,7 +154,7 @@ def ledger_rollup(
     losses only get a row with NULL movement.
     """
     current = in_period(config.ledger_window, F.col("snapshot_date"))
-    wanted = current
+    window, wanted = config.ledger_window, current
     rows = {
         "current": current,
         "driver": F.when(current, driver_of(F.col("bridge_account"), drivers)),
@@ -171,13 +168,19 @@ def ledger_rollup(
     }
     months = ()
     if monthly is not None:
-        wanted = current | _monthly_loss(monthly)
-        rows["month"] = F.when(_monthly_loss(monthly), F.month("snapshot_date"))
+        earlier, loss = in_period(monthly, F.col("snapshot_date")), F.col("arr_usd") < 0
+        wanted = current | (earlier & loss)
+        rows["month"] = F.when(earlier & loss, F.month("snapshot_date"))
         months = monthly.month_numbers()
+        # The scan may not be able to test the sign, hence cannot use the alternative
+        # above; one window around both can always be pushed down.
+        window = window.spanning(monthly)
         amounts |= {f"month_{m}": f"CASE WHEN month = {m} THEN arr_usd END" for m in months}
 
     totals = (
-        ledger.where((F.col("row_type") == config.ledger_row_type) & wanted)
+        ledger.where(F.col("row_type") == config.ledger_row_type)
+        .where(in_period(window, F.col("snapshot_date")))
+        .where(wanted)
         .select(KEY, *(column.alias(name) for name, column in rows.items()))
         .groupBy(KEY)
         .agg(
@@ -202,9 +205,9 @@ def ledger_rollup(
 def ledger_monthly_losses(ledger: DataFrame, config: ReconConfig) -> DataFrame:
     """Negative movement per customer and month number of the monthly window."""
     return (
-        ledger.where(
-            (F.col("row_type") == config.ledger_row_type) & _monthly_loss(config.losses.monthly)
-        )
+        ledger.where(F.col("row_type") == config.ledger_row_type)
+        .where(in_period(config.losses.monthly, F.col("snapshot_date")))
+        .where("arr_usd < 0")
         .groupBy(KEY, F.month("snapshot_date").alias("month"))
         .agg(exact_sum("arr_usd").alias("month_arr_usd"))
     )

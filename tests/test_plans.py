@@ -1,0 +1,197 @@
+"""What the physical plans contain, and results that must not depend on layout."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+from datetime import date
+
+import pytest
+from golden import build_inputs
+from pyspark.sql import functions as F
+
+from ledgermend import ReconConfig, reconcile
+from ledgermend.checks.registry import QUERIES
+from ledgermend.checks.roles import CONFIG, Tables, audit_lines, inputs, movement_ledger
+from ledgermend.operators.idlists import id_lists
+from ledgermend.operators.merge import audit_lists
+from ledgermend.operators.rollups import (
+    ledger_monthly_losses,
+    ledger_rollup,
+    prior_booking_measures,
+    rollup,
+)
+from ledgermend.plans.bookings import spine_variance
+
+LABELS = {value for value in vars(CONFIG.labels).values()} - {
+    CONFIG.labels.undecided,
+    CONFIG.labels.both_present,
+}
+
+
+def plan_of(frame) -> str:
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Plans as for tables too large to broadcast."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+@pytest.fixture(scope="module")
+def sf_dir(data_root):
+    return str(data_root / "sf0.001")
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_no_python_and_no_nested_loops(name, spark, sf_dir):
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    assert not re.search(r"Python|Pandas|ArrowEval|CartesianProduct|NestedLoop", plan)
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_no_jobs_while_building(name, spark, sf_dir):
+    """Building a query reads footers at most; nothing is collected to the driver."""
+    tables = Tables(spark, sf_dir)
+    assert tables.orders and tables.customer and tables.lineitem
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(f"build-{name}", name)
+    QUERIES[name](spark, sf_dir)
+    jobs = tracker.getJobIdsForGroup(f"build-{name}")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 3
+
+
+def test_window_reaches_the_scan(spark, sf_dir):
+    ledger = movement_ledger(Tables(spark, sf_dir))
+    frame = ledger_rollup(ledger, CONFIG, CONFIG.losses.drivers, CONFIG.losses.monthly)
+    plan = spark._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "formatted")
+    filters = next(x for x in plan.splitlines() if "PushedFilters" in x and "l_shipdate" in x)
+    assert "GreaterThanOrEqual(l_shipdate,1997-04-01" in filters
+    assert "LessThan(l_shipdate,1998-01-01" in filters
+    assert "l_tax" not in plan and "l_partkey" not in plan
+
+
+def test_one_pass_per_source(spark, sf_dir, no_broadcast):
+    plan = plan_of(spine_variance(inputs(Tables(spark, sf_dir)), CONFIG))
+    scans = Counter(re.findall(r"FileScan parquet \[(\w)_", plan))
+    # Orders twice: as booking lines of all periods, and as the owner of each ledger line.
+    assert scans == {"c": 1, "o": 2, "l": 1}
+
+
+def test_exchanges_of_the_report(spark, sf_dir, no_broadcast):
+    plan = plan_of(QUERIES["reconciliation"](spark, sf_dir))
+    assert plan.count("BroadcastExchange") == 0
+    # The full outer join and all joins before it reuse the placement by customer.
+    by_customer = re.findall(r"Exchange hashpartitioning\(customer_id#\d+, \d+\)", plan)
+    # Two spines; CRM, ledger and id rollups of both branches; audit ids; merged rows.
+    assert len(by_customer) == 2 + 2 * 3 + 1 + 1
+    # Neither the final distinct nor anything else shuffles whole report rows.
+    assert not re.search(r"Exchange hashpartitioning\([^)]*loss_label", plan)
+
+
+def test_ledger_fold_equals_separate_aggregates(spark, sf_dir):
+    ledger = movement_ledger(Tables(spark, sf_dir))
+    folded = ledger_rollup(ledger, CONFIG, CONFIG.losses.drivers, CONFIG.losses.monthly)
+    plain = ledger_rollup(ledger, CONFIG, CONFIG.losses.drivers)
+    movement = folded.drop("monthly_losses").where("arr_usd IS NOT NULL")
+    assert sorted(movement.collect()) == sorted(plain.collect())
+    months = folded.selectExpr("customer_id", "inline(monthly_losses)")
+    assert sorted(months.collect()) == sorted(ledger_monthly_losses(ledger, CONFIG).collect())
+
+
+def test_prior_periods_from_one_or_two_tables(spark, sf_dir):
+    lines = inputs(Tables(spark, sf_dir)).booking_lines
+    shared = rollup(prior_booking_measures(lines, lines, CONFIG.bookings))
+    apart = rollup(prior_booking_measures(lines, lines.select("*"), CONFIG.bookings))
+    assert sorted(shared.collect(), key=str) == sorted(apart.collect(), key=str)
+
+
+def test_report_keys_and_labels(spark, sf_dir):
+    roles = inputs(Tables(spark, sf_dir))
+    rows = reconcile(roles, CONFIG).collect()
+    found = {
+        row[f"Final {side} Recon Category"] for row in rows for side in ("Loss", "Bookings")
+    } - {None}
+    assert found <= LABELS
+    branches = {
+        row["customer_id"]
+        for name in ("reconcile_bookings", "reconcile_losses")
+        for row in QUERIES[name](spark, sf_dir).collect()
+    }
+    assert {row["MCID"] for row in rows} == branches
+
+
+@pytest.mark.parametrize("partitions", [1, 13])
+def test_result_does_not_depend_on_partitioning(spark, partitions):
+    expected = sorted(map(str, reconcile(build_inputs(spark)).collect()))
+    scattered = build_inputs(spark)
+    for role, frame in vars(scattered).items():
+        object.__setattr__(scattered, role, frame.repartition(partitions))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert sorted(map(str, reconcile(scattered, ReconConfig()).collect())) == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.fixture
+def without_coalescing(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("distinct", [False, True])
+def test_large_list_is_cut_and_joined_in_order(spark, distinct, without_coalescing):
+    """One customer owns most ids, a third of them the same one."""
+    ids = spark.range(30_000).select(
+        F.when(F.col("id") % 10 < 8, "hot").otherwise(F.expr("'c' || id % 97")).alias(
+            "customer_id"
+        ),
+        F.when(F.col("id") % 3 == 0, "same").otherwise(F.expr("'' || id % 7919")).alias("ref"),
+        F.when(F.col("id") % 5 != 0, F.col("id")).alias("gap"),
+    )
+    result = id_lists(ids, ["ref", "gap"], distinct=distinct)
+    found = {row[0]: row[1:] for row in result.collect()}
+
+    expected: dict[str, tuple[list, list]] = {}
+    for customer, ref, gap in ids.collect():
+        refs, gaps = expected.setdefault(customer, ([], []))
+        refs.append(ref)
+        gaps.append(None if gap is None else str(gap))
+
+    def text(values):
+        kept = set(values) if distinct else values
+        ordered = sorted(kept, key=lambda v: (v is None, v or ""))
+        return ",".join("NULL" if v is None else v for v in ordered)
+
+    assert found == {c: (text(refs), text(gaps)) for c, (refs, gaps) in expected.items()}
+
+
+def test_large_list_is_spread_over_tasks(spark, without_coalescing):
+    counted = spark.range(30_000).selectExpr("'hot' AS customer_id", "CAST(id AS STRING) AS id")
+    placed = counted.repartitionByRange("customer_id", "id").select(F.spark_partition_id())
+    sizes = [n for _, n in placed.groupBy("SPARK_PARTITION_ID()").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 15_000
+
+
+def test_audit_lists_skip_unknown_customers(spark, sf_dir):
+    lists = audit_lists(audit_lines(Tables(spark, sf_dir)))
+    assert lists.where("customer_id IS NULL").count() == 0
+
+
+def test_default_config_is_the_fourth_quarter():
+    config = ReconConfig()
+    assert config.ledger_window.end == date(2024, 12, 31)
+    assert config.bookings.current.month_numbers() == (10, 11, 12)
+    assert config.losses.monthly.month_numbers() == (4, 5, 6, 7, 8, 9)
