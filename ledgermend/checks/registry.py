@@ -57,7 +57,7 @@ def period_filter(tables: Tables) -> DataFrame:
         "opportunity_id",
         F.col("contract_start").cast("date").alias("contract_start"),
         "loss_usd",
-        in_period(CONFIG.losses.current, F.col("contract_start")).alias("in_window"),
+        in_period(CONFIG.losses.current, "contract_start").alias("in_window"),
     )
 
 

@@ -140,7 +140,7 @@ def audit_lines(source: Tables, period: Period | None = None) -> DataFrame:
     """Supplier and line number of order lines; line 7 stands for a missing contract."""
     lines = source.sold_lines()
     if period is not None:
-        lines = lines.where(in_period(period, F.col("l_shipdate")))
+        lines = lines.where(in_period(period, "l_shipdate"))
     return conform(
         lines.selectExpr(
             "o_custkey AS customer_id",

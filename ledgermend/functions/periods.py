@@ -10,20 +10,19 @@ from pyspark.sql import functions as F
 from ledgermend.config import Period
 
 
-def in_period(period: Period, day: Column | None = None, month: Column | None = None) -> Column:
-    """Whether a row falls in ``period``.
+def in_period(period: Period, day: str, month: str | None = None) -> Column:
+    """Whether the date or timestamp column ``day`` falls in ``period``.
 
     The window is written half-open on the bare column: that is the inclusive
     window for dates, keeps the whole last day of a timestamp, and leaves
     nothing around the column that would stop it from being pushed down.
-    ``month`` is a month-number column; without it the month comes from ``day``.
+    ``month`` names a month-number column; without it the month comes from ``day``.
     """
     tests = []
     if period.start is not None:
-        if day is None:
-            raise ValueError("a date window needs a date column")
-        tests.append((day >= F.lit(period.start)) & (day < F.lit(period.end + timedelta(days=1))))
+        after = period.end + timedelta(days=1)
+        tests.append(f"{day} >= DATE'{period.start}' AND {day} < DATE'{after}'")
     if period.months:
-        number = month if month is not None else F.month(day)
-        tests.append(number.isin(*period.months))
-    return tests[0] if len(tests) == 1 else tests[0] & tests[1]
+        numbers = ", ".join(map(str, period.months))
+        tests.append(f"{month or f'month({day})'} IN ({numbers})")
+    return F.expr(" AND ".join(tests))

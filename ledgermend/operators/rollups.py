@@ -68,7 +68,7 @@ def rollup(measures: Sequence[Measure]) -> DataFrame:
 
 
 def closed_in(period: Period) -> Column:
-    return in_period(period, F.col("close_date"), F.col("close_month"))
+    return in_period(period, "close_date", "close_month")
 
 
 def booking_measures(lines: DataFrame, rules: BookingRules) -> list[Measure]:
@@ -100,7 +100,7 @@ def booking_rollup(lines: DataFrame, rules: BookingRules) -> DataFrame:
 def losses_in_period(lines: DataFrame, period: Period) -> DataFrame:
     """Loss lines of the period with a negative amount, parsed as ``loss_usd``."""
     return (
-        lines.where(in_period(period, F.col("contract_start")))
+        lines.where(in_period(period, "contract_start"))
         .withColumn("loss_usd", parse_amount(F.col("amount_text")))
         .where("loss_usd < 0")
     )
@@ -117,7 +117,7 @@ def loss_measures(lines: DataFrame, rules: LossRules) -> list[Measure]:
 
 def loss_history_measures(history: DataFrame, rules: LossRules) -> list[Measure]:
     def lost_in(period: Period) -> Column:
-        return in_period(period, F.col("contract_start"))
+        return in_period(period, "contract_start")
 
     negative = history.where("loss_usd < 0")
     return [
@@ -153,7 +153,7 @@ def ledger_rollup(
     (month, arr_usd) entry per month that has any, and customers with earlier
     losses only get a row with NULL movement.
     """
-    current = in_period(config.ledger_window, F.col("snapshot_date"))
+    current = in_period(config.ledger_window, "snapshot_date")
     window, wanted = config.ledger_window, current
     rows = {
         "current": current,
@@ -168,7 +168,7 @@ def ledger_rollup(
     }
     months = ()
     if monthly is not None:
-        earlier, loss = in_period(monthly, F.col("snapshot_date")), F.col("arr_usd") < 0
+        earlier, loss = in_period(monthly, "snapshot_date"), F.col("arr_usd") < 0
         wanted = current | (earlier & loss)
         rows["month"] = F.when(earlier & loss, F.month("snapshot_date"))
         months = monthly.month_numbers()
@@ -179,7 +179,7 @@ def ledger_rollup(
 
     totals = (
         ledger.where(F.col("row_type") == config.ledger_row_type)
-        .where(in_period(window, F.col("snapshot_date")))
+        .where(in_period(window, "snapshot_date"))
         .where(wanted)
         .select(KEY, *(column.alias(name) for name, column in rows.items()))
         .groupBy(KEY)
@@ -206,7 +206,7 @@ def ledger_monthly_losses(ledger: DataFrame, config: ReconConfig) -> DataFrame:
     """Negative movement per customer and month number of the monthly window."""
     return (
         ledger.where(F.col("row_type") == config.ledger_row_type)
-        .where(in_period(config.losses.monthly, F.col("snapshot_date")))
+        .where(in_period(config.losses.monthly, "snapshot_date"))
         .where("arr_usd < 0")
         .groupBy(KEY, F.month("snapshot_date").alias("month"))
         .agg(exact_sum("arr_usd").alias("month_arr_usd"))

@@ -2,40 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
-def _as_double(column: Column, dtype: T.DataType) -> Column:
-    return column.try_cast("double") if isinstance(dtype, T.StringType) else column.cast("double")
-
-
-def _as_day(column: Column, dtype: T.DataType) -> Column:
-    # Date and timestamp columns stay as stored, so that filters on them reach
-    # the scan; comparing text dates as text would order them wrongly.
-    if isinstance(dtype, T.StringType):
-        return column.try_cast("date")
-    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return column
-    raise ValueError(f"expected a date, a timestamp or text, got {dtype.simpleString()}")
-
-
 TEXT = "text"
 NUMBER = "number"
 MONTH = "month"
 DAY = "day"
 
-_CASTS: dict[str, Callable[[Column, T.DataType], Column]] = {
-    TEXT: lambda column, _: column.cast("string"),
-    NUMBER: _as_double,
-    MONTH: lambda column, _: column.cast("int"),
-    DAY: _as_day,
-}
-_ABSENT = {TEXT: "string", NUMBER: "double", MONTH: "int", DAY: "date"}
+_TYPES = {TEXT: "STRING", NUMBER: "DOUBLE", MONTH: "INT", DAY: "DATE"}
+
+
+def _as_kind(column: str, kind: str, stored: T.DataType) -> str:
+    """SQL for ``column`` as its kind; unreadable text becomes NULL."""
+    if kind == DAY and isinstance(stored, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        # Left as stored, so that filters reach the scan.
+        return column
+    if kind == DAY and not isinstance(stored, T.StringType):
+        raise ValueError(f"{column}: expected a date, got {stored.simpleString()}")
+    cast = "TRY_CAST" if isinstance(stored, T.StringType) else "CAST"
+    return f"{cast}({column} AS {_TYPES[kind]})"
 
 
 @dataclass(frozen=True)
@@ -112,13 +101,13 @@ def conform(df: DataFrame, table: str) -> DataFrame:
         match = next((stored[n.lower()] for n in names if n.lower() in stored), None)
         if match is not None:
             quoted = "`" + match.name.replace("`", "``") + "`"
-            column = _CASTS[field.kind](F.col(quoted), match.dataType)
+            column = _as_kind(quoted, field.kind, match.dataType)
         elif field.required:
             raise ValueError(f"{table}: no column {' or '.join(map(repr, names))}")
         else:
-            column = F.lit(None).cast(_ABSENT[field.kind])
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+            column = f"CAST(NULL AS {_TYPES[field.kind]})"
+        columns.append(f"{column} AS {field.name}")
+    return df.selectExpr(*columns)
 
 
 @dataclass(frozen=True)
