@@ -31,10 +31,17 @@ def exact_sum(amount: str) -> Column:
     stay inside generated code (decimal sums measured four to six times
     slower). NULL when there is nothing to add, as for a plain sum.
     """
-    micros = f"CAST(rint(({amount} - floor({amount})) * {_MICROS_PER_UNIT}) AS BIGINT)"
+    units = f"sum(floor({amount}))"
+    micros = f"sum(CAST(rint(({amount} - floor({amount})) * {_MICROS_PER_UNIT}) AS BIGINT))"
+    # Up to these bounds the total is an exact double of millionths, so that one
+    # division rounds it right; decimals serve the totals beyond.
+    small = f"{units} BETWEEN -8000000000 AND 8000000000 AND {micros} < 1000000000000000"
     return F.expr(
-        f"""CAST(CAST(sum(floor({amount})) AS DECIMAL(20, 0))
-            + CAST(sum({micros}) AS DECIMAL(20, 0)) * {Decimal(1) / _MICROS_PER_UNIT} AS DOUBLE)"""
+        f"""CASE WHEN {small}
+            THEN CAST({units} * {_MICROS_PER_UNIT} + {micros} AS DOUBLE) / {_MICROS_PER_UNIT}
+            ELSE CAST(CAST({units} AS DECIMAL(20, 0))
+                + CAST({micros} AS DECIMAL(20, 0)) * {Decimal(1) / _MICROS_PER_UNIT} AS DOUBLE)
+            END"""
     )
 
 
@@ -44,7 +51,7 @@ def share_percent(part: Column, whole: Column) -> Column:
     0 when ``whole`` is 0, NULL when ``part`` is NULL.
     """
     ratio = F.abs(F.try_divide(part, whole)) * 100.0
-    return F.bround(F.when(F.abs(whole) > 0, ratio).otherwise(0.0))
+    return F.rint(F.when(F.abs(whole) > 0, ratio).otherwise(0.0))
 
 
 def within(value: Column, bounds: tuple[float, float]) -> Column:
