@@ -56,7 +56,6 @@ _MERGED = {
     "booking_lcu": "coalesce(b.booking_lcu, 0D)",
     "booking_variance_lcu": "coalesce(b.arr_lcu - b.booking_lcu, 0D)",
     "start_date": "b.start_date",
-    "opportunity_id": "coalesce(b.opportunity_id, c.opportunity_id)",
     "reversal": "coalesce(c.reversal, 0D)",
     "upsell_migration": "coalesce(b.migration, 0D)",
     "downsell_migration": "coalesce(c.downsell_migration, 0D)",
@@ -70,15 +69,17 @@ _MERGED = {
     "loss_label": "c.label",
     "booking_label": "b.label",
 }
+_MERGED_IDS = {"opportunity_id": "coalesce(b.opportunity_id, c.opportunity_id)"}
 
 
-def merge_branches(bookings: DataFrame, losses: DataFrame) -> DataFrame:
+def merge_branches(bookings: DataFrame, losses: DataFrame, with_ids: bool = True) -> DataFrame:
     """Full outer join of the branch results, one column list for both."""
+    rules = _MERGED | _MERGED_IDS if with_ids else _MERGED
     same_customer = F.expr("b.customer_id = c.customer_id")
     return (
         bookings.alias("b")
         .join(losses.alias("c"), same_customer, "full_outer")
-        .selectExpr(*(f"{rule} AS {name}" for name, rule in _MERGED.items()))
+        .selectExpr(*(f"{rule} AS {name}" for name, rule in rules.items()))
     )
 
 
@@ -87,20 +88,30 @@ def audit_lists(refs: DataFrame) -> DataFrame:
     return id_lists(known, ["reference_number", "contract_id"], distinct=True)
 
 
-def attach_audit_refs(merged: DataFrame, refs: DataFrame) -> DataFrame:
-    """Distinct merged rows with their customer's audit ids as text.
+def attach_lists(
+    merged: DataFrame, booking_ids: DataFrame, loss_ids: DataFrame, refs: DataFrame
+) -> DataFrame:
+    """Distinct merged rows with the opportunity and audit ids of their customer.
 
-    Repeated rows are removed after the join: it has already placed all rows
-    of a customer together.
+    The lists depend on the customer alone and may be by far the widest columns,
+    so they come last: one placement by customer serves the removal of repeated
+    rows and all three joins, and no list is shuffled or compared again. A
+    customer absent from a branch has no label there, and none of its ids.
     """
-    texts = {
-        name: f"coalesce({name}, '{NULL_TEXT}') AS {name}"
-        for name in ("reference_number", "contract_id")
+    ids = {
+        "opportunity_id": """coalesce(
+            CASE WHEN booking_label IS NOT NULL THEN booking_ids END,
+            CASE WHEN loss_label IS NOT NULL THEN loss_ids END)""",
+        "reference_number": f"coalesce(reference_number, '{NULL_TEXT}')",
+        "contract_id": f"coalesce(contract_id, '{NULL_TEXT}')",
     }
     return (
-        merged.join(audit_lists(refs), KEY, "left")
-        .selectExpr(*(texts.get(name, name) for name in REPORT_HEADERS))
+        merged.repartition(KEY)
         .distinct()
+        .join(booking_ids.withColumnRenamed("opportunity_id", "booking_ids"), KEY, "left")
+        .join(loss_ids.withColumnRenamed("opportunity_id", "loss_ids"), KEY, "left")
+        .join(audit_lists(refs), KEY, "left")
+        .selectExpr(*(f"{ids.get(name, name)} AS {name}" for name in REPORT_HEADERS))
     )
 
 

@@ -25,7 +25,6 @@ from ledgermend.sources.contracts import ReconInputs
 BRANCH_COLUMNS = (
     KEY,
     "name",
-    "opportunity_id",
     "arr_usd",
     "arr_lcu",
     "booking_usd",
@@ -86,10 +85,16 @@ def driver_stage(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
     )
 
 
+def labelled_bookings(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
+    return driver_stage(inputs, config).select(*BRANCH_COLUMNS)
+
+
+def current_booking_ids(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
+    return booking_ids(inputs.booking_lines, config.bookings)
+
+
 def reconcile_bookings(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
     """The labelled customers with the ids of their bookings."""
-    return (
-        driver_stage(inputs, config)
-        .join(booking_ids(inputs.booking_lines, config.bookings), KEY, "left")
-        .select(*BRANCH_COLUMNS)
+    return labelled_bookings(inputs, config).join(
+        current_booking_ids(inputs, config), KEY, "left"
     )

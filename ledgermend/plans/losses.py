@@ -27,7 +27,6 @@ from ledgermend.sources.contracts import ReconInputs
 BRANCH_COLUMNS = (
     KEY,
     "name",
-    "opportunity_id",
     "arr_usd",
     "arr_lcu",
     "loss_usd",
@@ -106,12 +105,16 @@ def monthly_stage(
     )
 
 
-def reconcile_losses(
+def labelled_losses(
     inputs: ReconInputs, config: ReconConfig, every_month: bool = True
 ) -> DataFrame:
+    return monthly_stage(inputs, config, every_month).select(*BRANCH_COLUMNS)
+
+
+def current_loss_ids(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
+    return loss_ids(inputs.loss_lines, config.losses)
+
+
+def reconcile_losses(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
     """The labelled customers with their loss ids, repeated as in ``monthly_stage``."""
-    return (
-        monthly_stage(inputs, config, every_month)
-        .join(loss_ids(inputs.loss_lines, config.losses), KEY, "left")
-        .select(*BRANCH_COLUMNS)
-    )
+    return labelled_losses(inputs, config).join(current_loss_ids(inputs, config), KEY, "left")

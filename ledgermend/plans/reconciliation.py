@@ -5,28 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ledgermend.config import ReconConfig
-from ledgermend.operators.merge import attach_audit_refs, merge_branches, with_report_headers
-from ledgermend.plans.bookings import reconcile_bookings
-from ledgermend.plans.losses import reconcile_losses
+from ledgermend.operators.merge import attach_lists, merge_branches, with_report_headers
+from ledgermend.plans.bookings import current_booking_ids, labelled_bookings, reconcile_bookings
+from ledgermend.plans.losses import current_loss_ids, labelled_losses, reconcile_losses
 from ledgermend.sources.contracts import ReconInputs
 
 
-def merged_branches(
-    inputs: ReconInputs, config: ReconConfig, every_month: bool = True
-) -> DataFrame:
-    """Both branches side by side; ``every_month`` as in ``losses.monthly_stage``."""
-    return merge_branches(
-        reconcile_bookings(inputs, config), reconcile_losses(inputs, config, every_month)
-    )
+def merged_branches(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
+    """Both branch results side by side, a row per earlier month with losses."""
+    return merge_branches(reconcile_bookings(inputs, config), reconcile_losses(inputs, config))
 
 
 def audited_branches(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
     """The merged branches with audit ids, each row once.
 
-    Repeated rows vanish here, so the branches need not carry every month.
+    Repeated rows vanish here, so the losses need not carry every month.
     """
-    merged = merged_branches(inputs, config, every_month=False)
-    return attach_audit_refs(merged, inputs.audit_refs)
+    merged = merge_branches(
+        labelled_bookings(inputs, config),
+        labelled_losses(inputs, config, every_month=False),
+        with_ids=False,
+    )
+    return attach_lists(
+        merged,
+        current_booking_ids(inputs, config),
+        current_loss_ids(inputs, config),
+        inputs.audit_refs,
+    )
 
 
 def reconcile(inputs: ReconInputs, config: ReconConfig | None = None) -> DataFrame:
