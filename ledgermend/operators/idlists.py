@@ -12,6 +12,15 @@ from ledgermend.functions.idtext import SEPARATOR, element_text, repeated
 KEY = "customer_id"
 
 
+def of_known_customers(df: DataFrame) -> DataFrame:
+    """Rows that can meet a customer in a join.
+
+    Id lists need this said outright: the join's own NULL test cannot move below
+    the numbering of pieces, and rows without a customer would form one list.
+    """
+    return df.where("customer_id IS NOT NULL")
+
+
 def id_lists(df: DataFrame, columns: Sequence[str], distinct: bool = False) -> DataFrame:
     """One row per customer with the ids in each of ``columns`` as a list in text form.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermend.functions.idtext import NULL_TEXT
-from ledgermend.operators.idlists import KEY, id_lists
+from ledgermend.operators.idlists import KEY, id_lists, of_known_customers
 
 # Result columns in order, with the headers of the report.
 REPORT_HEADERS = {
@@ -84,8 +84,7 @@ def merge_branches(bookings: DataFrame, losses: DataFrame, with_ids: bool = True
 
 
 def audit_lists(refs: DataFrame) -> DataFrame:
-    known = refs.where("customer_id IS NOT NULL")
-    return id_lists(known, ["reference_number", "contract_id"], distinct=True)
+    return id_lists(of_known_customers(refs), ["reference_number", "contract_id"], distinct=True)
 
 
 def attach_lists(

@@ -49,9 +49,7 @@ def rollup(measures: Sequence[Measure]) -> DataFrame:
     def contribution(own: list[Measure]) -> DataFrame:
         conditions = {id(measure.when): measure.when for measure in own}
         only_one = len(conditions) == 1
-        values = {
-            m.name: m.value if only_one else F.when(m.when, m.value).alias(m.name) for m in own
-        }
+        values = {m.name: m.value if only_one else F.when(m.when, m.value) for m in own}
         return (
             own[0]
             .source.where(reduce(or_, conditions.values()))

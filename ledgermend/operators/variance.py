@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ledgermend.operators.idlists import KEY
+from ledgermend.operators.idlists import KEY, of_known_customers
 
 
 def spine(customers: DataFrame) -> DataFrame:
@@ -15,7 +15,7 @@ def spine(customers: DataFrame) -> DataFrame:
     without an id match nothing and never pass the movement filter; leaving
     them out also keeps them from piling up in one join partition.
     """
-    return customers.where("customer_id IS NOT NULL").select(KEY, "name").distinct()
+    return of_known_customers(customers).select(KEY, "name").distinct()
 
 
 def with_variance(

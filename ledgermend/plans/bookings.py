@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermend.config import ReconConfig
-from ledgermend.operators.idlists import KEY
+from ledgermend.operators.idlists import KEY, of_known_customers
 from ledgermend.operators.labels import (
     booking_driver,
     booking_in_prior_period,
@@ -90,7 +90,7 @@ def labelled_bookings(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
 
 
 def current_booking_ids(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
-    return booking_ids(inputs.booking_lines, config.bookings)
+    return booking_ids(of_known_customers(inputs.booking_lines), config.bookings)
 
 
 def reconcile_bookings(inputs: ReconInputs, config: ReconConfig) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermend.config import ReconConfig
-from ledgermend.operators.idlists import KEY
+from ledgermend.operators.idlists import KEY, of_known_customers
 from ledgermend.operators.labels import (
     loss_driver,
     loss_in_prior_period,
@@ -112,7 +112,7 @@ def labelled_losses(
 
 
 def current_loss_ids(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
-    return loss_ids(inputs.loss_lines, config.losses)
+    return loss_ids(of_known_customers(inputs.loss_lines), config.losses)
 
 
 def reconcile_losses(inputs: ReconInputs, config: ReconConfig) -> DataFrame:

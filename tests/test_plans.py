@@ -16,12 +16,14 @@ from ledgermend.checks.roles import CONFIG, Tables, audit_lines, inputs, movemen
 from ledgermend.operators.idlists import id_lists
 from ledgermend.operators.merge import audit_lists
 from ledgermend.operators.rollups import (
+    booking_rollup,
     ledger_monthly_losses,
     ledger_rollup,
     prior_booking_measures,
     rollup,
 )
-from ledgermend.plans.bookings import spine_variance
+from ledgermend.plans.bookings import current_booking_ids, spine_variance
+from ledgermend.plans.losses import current_loss_ids
 
 LABELS = {value for value in vars(CONFIG.labels).values()} - {
     CONFIG.labels.undecided,
@@ -190,6 +192,14 @@ def test_audit_lists_skip_unknown_customers(spark, sf_dir):
     assert lists.where("customer_id IS NULL").count() == 0
 
 
+def test_rows_without_customer_form_no_list(spark):
+    roles = build_inputs(spark)
+    for lists in (current_booking_ids, current_loss_ids):
+        assert lists(roles, ReconConfig()).where("customer_id IS NULL").count() == 0
+    kept = booking_rollup(roles.booking_lines, ReconConfig().bookings)
+    assert kept.where("customer_id IS NULL").first()["opportunity_id"] == "lost"
+
+
 def test_default_config_is_the_fourth_quarter():
     config = ReconConfig()
     assert config.ledger_window.end == date(2024, 12, 31)
