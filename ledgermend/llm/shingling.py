@@ -1,15 +1,16 @@
-"""Word shingles of whole Arrow columns as 64-bit hashes, without a Python object per word.
+"""Words and word shingles of whole Arrow columns as 64-bit hashes, without a Python object per word.
 
-Words are the runs between the bytes 0x09-0x0D and 0x20, after lower-casing A-Z. All passes are
+Words are the runs between the bytes 0x09-0x0D and 0x20, with A-Z lower-cased unless said otherwise. All passes are
 numpy over the UTF-8 bytes, in windows of bounded size that end between words.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 WINDOW = 1 << 20
 _MASK = (1 << 64) - 1
@@ -24,11 +25,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _byte_values() -> np.ndarray:
+def _byte_values(fold_case: bool) -> np.ndarray:
     values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
-    lower = np.arange(256)
-    lower[65:91] += 32
-    return values[lower]
+    letters = np.arange(256)
+    if fold_case:
+        letters[65:91] += 32
+    return values[letters]
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -42,7 +44,7 @@ def _powers(base: int, n: int) -> np.ndarray:
     return out
 
 
-_VALUES = _byte_values()
+_VALUES = {fold: _byte_values(fold) for fold in (True, False)}
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _POWERS = {"up": _powers(_BASE, 1 << 12), "down": _powers(_INVERSE, 1 << 12)}
@@ -56,7 +58,19 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
-def _words_of_window(data: np.ndarray, text_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def parts_of(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """The batches in slices whose texts have about `most` bytes, or of one text."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < len(batch):
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
+def _words_of_window(data: np.ndarray, text_starts: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and start of each word; text_starts are offsets where a word cannot go on."""
     inside = ~_SPACE[data]
     before = np.empty(len(data), bool)
@@ -70,12 +84,12 @@ def _words_of_window(data: np.ndarray, text_starts: np.ndarray) -> tuple[np.ndar
     ends = np.flatnonzero(inside & ~after) + 1
     up, down = _power_tables(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUES[data] * up, out=sums[1:])
+    np.cumsum(values[data] * up, out=sums[1:])
     hashes = (sums[ends] - sums[starts]) * down[starts]
     return mix(hashes + (ends - starts).astype(np.uint64) * np.uint64(_BASE)), starts
 
 
-def _text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text column, and the offsets of its texts in them (null: empty)."""
     column = column.cast(pa.large_string()).fill_null("")
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
@@ -84,9 +98,9 @@ def _text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(column: pa.Array, fold_case: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all words in order, and each text's offset among them."""
-    data, offsets = _text_bytes(column)
+    data, offsets = text_bytes(column)
     hashes, starts, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
     while at < len(data):
         end = min(at + WINDOW, len(data))
@@ -101,7 +115,7 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
                     end = end + int(block[0]) + 1 if len(block) else min(end + WINDOW, len(data))
         low, high = np.searchsorted(offsets, [at, end])
         inner = np.unique(offsets[low:high]) - at
-        found, where = _words_of_window(data[at:end], inner)
+        found, where = _words_of_window(data[at:end], inner, _VALUES[fold_case])
         hashes.append(found)
         starts.append(where + at)
         at = end
