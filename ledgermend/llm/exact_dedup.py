@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermend.llm.store import written
+from ledgermend.llm.store import free_name, written
 
 SPACES = " \t\n\x0b\x0c\r"
 BUCKETS = 64
@@ -96,3 +96,23 @@ def deduplicate(documents: DataFrame, index: DigestIndex) -> DataFrame:
         F.lower(F.hex("digest")).alias("text_sha256"),
         "n_chars",
     )
+
+
+def kept_documents(documents: DataFrame, index: DigestIndex) -> DataFrame:
+    """The rows of documents that stay, with all their columns: one of each group that the index did not know.
+
+    The decisions are those of `deduplicate`; of repeated rows (one doc_id, equal text and length) one stays.
+    """
+    decided = written(deduplicate(documents, index), "decided")
+    sha, key, chars = (free_name(documents, name) for name in ("of_text", "of_doc_id", "of_chars"))
+    wanted = decided.where("kept").select(F.col("doc_id").alias(key), F.col("text_sha256").alias(sha + "_"), F.col("n_chars").alias(chars))
+    rows = documents.withColumn(sha, digest(F.col("text")))
+    same = (
+        F.col("doc_id").cast("long").eqNullSafe(F.col(key))
+        & (F.col(sha) == F.col(sha + "_"))
+        & (F.coalesce(F.char_length(F.col("text").cast("string")), F.lit(0)) == F.col(chars))
+    )
+    stay = rows.join(wanted, same, "left_semi")
+    if not decided.where("not kept and doc_id <=> keep_id").isEmpty():
+        stay = stay.dropDuplicates(["doc_id", sha])
+    return stay.drop(sha)
