@@ -1,21 +1,67 @@
-"""The corpus pipeline: stages that each read what the one before has kept."""
+"""The corpus pipeline: stages that each read what the one before has kept.
+
+A stage takes (spark, docs, sf_dir) and returns rows with the columns of docs; the last one returns the
+pieces of packed sequences.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgermend.llm.exact_dedup import DigestIndex, kept_documents
 from ledgermend.llm.jaccard_join import jaccard_components
-from ledgermend.llm.store import table, written
+from ledgermend.llm.packing import pack
+from ledgermend.llm.quality_classifier import quality_score, train
+from ledgermend.llm.quality_rules import judged, stats_of
+from ledgermend.llm.store import free_name, new_path, table, written
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score by their labelled neighbours is 0.3 or more."""
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return docs.where(quality_score(docs, model) >= 0.3)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rule and lie within their group's limits."""
+    stats, kept = free_name(docs, "stats"), free_name(docs, "kept")
+    rows = judged(docs.withColumn(stats, stats_of(F.col("text"))), stats, kept)
+    return rows.where(F.col(kept)).drop(stats, kept)
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts, by a digest index that starts empty."""
+    return kept_documents(docs, DigestIndex(spark, new_path(spark, "digest-index")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest doc_id."""
-    groups = jaccard_components(docs, width=5, percent=80)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """The document with the smallest doc_id of each group of near duplicates.
+
+    Of repeated rows of one doc_id one stays; rows without doc_id stay, as no group names them.
+    """
+    groups = written(jaccard_components(docs, width=5, percent=80), "groups")
+    first = groups.where("doc_id = component_id").groupBy("doc_id").count()
+    stay = docs.join(first.select("doc_id"), docs["doc_id"].cast("long") == first["doc_id"], "left_semi")
+    if not first.where("count > 1").isEmpty():
+        stay = stay.dropDuplicates(["doc_id"])
+    nameless = docs.where(F.col("doc_id").isNull())
+    return stay if nameless.isEmpty() else stay.union(nameless)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 2048 ids."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, length=2048)
 
 
-STAGES = [("near_duplicates", near_duplicates)]
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("quality_rules", quality_rules),
+    ("exact_dedup", exact_dedup),
+    ("ngram_jaccard_join", near_duplicates),
+    ("packing", packing),
+]
 
 ORACLE_SQL = None
 
