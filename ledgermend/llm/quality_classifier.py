@@ -95,12 +95,13 @@ class NeighbourModel:
             nearest = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
             weights = np.maximum(np.take_along_axis(cosines, nearest, axis=1), 1e-6).astype(np.float64) ** 8
             out.append((weights * self.labels[nearest]).sum(axis=1) / weights.sum(axis=1))
-        return np.concatenate(out) if out else np.zeros(0)
+        # The last digits depend on how texts fall into blocks.
+        return np.round(np.concatenate(out), 6) if out else np.zeros(0)
 
 
 def held_out(doc_id: Column) -> Column:
     """Documents that are never learned from."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def train(documents: DataFrame, labels: DataFrame, label: str = "quality") -> NeighbourModel:
