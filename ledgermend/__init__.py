@@ -10,8 +10,8 @@ from ledgermend.config import (
 from ledgermend.plans.bookings import reconcile_bookings
 from ledgermend.plans.losses import reconcile_losses
 from ledgermend.plans.reconciliation import reconcile
-from ledgermend.sources.contracts import ReconInputs, conform
-from ledgermend.sources.readers import read_inputs
+from ledgermend.sources.contracts import ReconInputs, conform, rejects
+from ledgermend.sources.readers import read_inputs, read_rejects
 
 __all__ = [
     "BookingRules",
@@ -22,7 +22,9 @@ __all__ = [
     "ReconInputs",
     "conform",
     "read_inputs",
+    "read_rejects",
     "reconcile",
     "reconcile_bookings",
     "reconcile_losses",
+    "rejects",
 ]

@@ -32,6 +32,7 @@ _PREV1 = "BETWEEN DATE '1997-07-01' AND DATE '1997-09-30'"
 _PREV2 = "BETWEEN DATE '1997-04-01' AND DATE '1997-06-30'"
 _HALF_YEAR = "BETWEEN DATE '1997-04-01' AND DATE '1997-09-30'"
 
+# The labels in these relations are those of the report.
 _RELATIONS = {
     "spine": """
         SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS name FROM customer""",
@@ -55,10 +56,10 @@ _RELATIONS = {
                 * (1 - l_discount) AS usd,
             CASE l_returnflag WHEN 'R' THEN -1 ELSE 1 END * l_extendedprice AS lcu
         FROM sold_lines""",
-    "quarter_refs": f"""
+    "refs": """
         SELECT customer_id, CAST(l_suppkey AS VARCHAR) AS reference_number,
             CAST(nullif(l_linenumber, 7) AS VARCHAR) AS contract_id
-        FROM sold_lines WHERE shipped {_QUARTER}""",
+        FROM sold_lines WHERE CAST(customer_id AS BIGINT) % 10 <> 3""",
     "booked": f"""
         SELECT customer_id, {_money('usd')} AS booking_usd,
             {_money("replace(trim(substr(local_text, 4)), ',', '')")} AS booking_lcu,
@@ -211,7 +212,7 @@ _RELATIONS = {
     "audited": f"""
         SELECT merged.*, {_id_list('DISTINCT reference_number')} AS reference_number,
             {_id_list('DISTINCT contract_id')} AS contract_id
-        FROM merged LEFT JOIN quarter_refs USING (customer_id) GROUP BY ALL""",
+        FROM merged LEFT JOIN refs USING (customer_id) GROUP BY ALL""",
 }
 
 
@@ -248,7 +249,30 @@ _REPORT = """SELECT customer_id AS "MCID", name AS "Name",
     loss_label AS "Final Loss Recon Category", booking_label AS "Final Bookings Recon Category"
     FROM audited"""
 
+_REJECTED = [
+    ("booking_lines", "recurring_revenue", "o_orderstatus <> 'F' AND o_orderkey % 11 = 0", "format('{:.2f}d', o_totalprice)"),
+    ("booking_lines", "recurring_revenue", "o_orderstatus <> 'F' AND o_orderkey % 11 <> 0 AND o_orderkey % 13 = 0", "''"),
+    ("booking_lines", "amount_local_text", "o_orderstatus <> 'F' AND o_orderkey % 17 = 0", "'USD'"),
+    ("booking_lines", "start_date", "o_orderstatus <> 'F' AND o_orderkey % 19 = 0", "strftime(o_orderdate, '%m/%d/%Y')"),
+    ("loss_lines", "amount_text", "o_orderstatus = 'F' AND o_orderkey % 23 = 0", "'(5.00)'"),
+]
+
+
+def _by_months(sql: str) -> str:
+    """A query of the bookings with the months of each quarter, in any year, as its period."""
+    months = {_QUARTER: "IN (10, 11, 12)", _PREV1: "IN (7, 8, 9)", _PREV2: "IN (4, 5, 6)", _HALF_YEAR: "BETWEEN 4 AND 9"}
+    for window, numbers in months.items():
+        sql = sql.replace(f"closed {window}", f"month(closed) {numbers}")
+    return sql
+
+
 ORACLE_SQL: dict[str, str] = {
+    "rejected_values": " UNION ALL ".join(
+        f"""SELECT '{role}' AS role, '{column}' AS "column", {text} AS text, count(*) AS count
+            FROM orders WHERE {rows} GROUP BY ALL HAVING count(*) > 0"""
+        for role, column, rows, text in _REJECTED
+    ),
+    "reconcile_bookings_by_months": _by_months(_query("SELECT * FROM booking_branch")),
     "amount_parse": _query(
         """SELECT opportunity_id,
                 TRY_CAST(replace(trim(substr(local_text, 4)), ',', '') AS DOUBLE) AS amount
@@ -276,14 +300,14 @@ ORACLE_SQL: dict[str, str] = {
     "ledger_rollup": _query("SELECT * FROM moved JOIN driven USING (customer_id)"),
     "ledger_monthly_losses": _query("SELECT * FROM lost_by_month"),
     "id_list_text": _query(
-        f"""SELECT customer_id, {_id_list('CAST(l_suppkey AS VARCHAR)')} AS reference_number,
-                {_id_list('CAST(nullif(l_linenumber, 7) AS VARCHAR)')} AS contract_id
-            FROM sold_lines GROUP BY customer_id"""
+        f"""SELECT customer_id, {_id_list('reference_number')} AS reference_number,
+                {_id_list('contract_id')} AS contract_id
+            FROM refs GROUP BY customer_id"""
     ),
     "id_list_distinct_text": _query(
         f"""SELECT customer_id, {_id_list('DISTINCT reference_number')} AS reference_number,
                 {_id_list('DISTINCT contract_id')} AS contract_id
-            FROM quarter_refs GROUP BY customer_id"""
+            FROM refs GROUP BY customer_id"""
     ),
     "spine_variance": _query("SELECT * FROM booking_gap"),
     "bookings_stage1": _query("SELECT * FROM booking_first"),

@@ -8,16 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermend.checks import roles
-from ledgermend.checks.roles import CONFIG, Tables
+from ledgermend.checks.roles import BY_MONTHS, CONFIG, Tables
 from ledgermend.config import Period, ReconConfig
 from ledgermend.functions.money import parse_amount, parse_prefixed_amount
 from ledgermend.functions.periods import in_period
 from ledgermend.operators import rollups
 from ledgermend.operators.drivers import driver_of
-from ledgermend.operators.idlists import KEY, id_lists
-from ledgermend.operators.merge import audit_lists
+from ledgermend.operators.idlists import KEY, IdList, id_lists, with_lists
+from ledgermend.operators.merge import audit_ids
 from ledgermend.plans import bookings, losses, reconciliation
-from ledgermend.sources.contracts import ReconInputs
+from ledgermend.sources.contracts import ReconInputs, rejects
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,12 +75,14 @@ def category_map(tables: Tables) -> DataFrame:
 
 @_over_tables
 def booking_rollup(tables: Tables) -> DataFrame:
-    return rollups.booking_rollup(roles.booking_lines(tables), CONFIG.bookings)
+    lines, rules = roles.booking_lines(tables), CONFIG.bookings
+    return with_lists(rollups.rollup(rollups.booking_measures(lines, rules)), [rollups.booking_ids(lines, rules)])
 
 
 @_over_tables
 def loss_rollup(tables: Tables) -> DataFrame:
-    return rollups.loss_rollup(roles.loss_lines(tables), CONFIG.losses)
+    lines, rules = roles.loss_lines(tables), CONFIG.losses
+    return with_lists(rollups.rollup(rollups.loss_measures(lines, rules)), [rollups.loss_ids(lines, rules)])
 
 
 @_over_tables
@@ -104,18 +106,33 @@ def ledger_rollup(tables: Tables) -> DataFrame:
 
 @_over_tables
 def ledger_monthly_losses(tables: Tables) -> DataFrame:
-    return rollups.ledger_monthly_losses(roles.movement_ledger(tables), CONFIG)
+    folded = rollups.ledger_rollup(
+        roles.movement_ledger(tables), CONFIG, CONFIG.losses.drivers, CONFIG.losses.monthly
+    )
+    return folded.selectExpr(KEY, "inline(monthly_losses) AS (month, month_arr_usd)")
 
 
 @_over_tables
 def id_list_text(tables: Tables) -> DataFrame:
     """All lines of all years; duplicates and missing ids stay in the lists."""
-    return id_lists(roles.audit_lines(tables), ["reference_number", "contract_id"])
+    refs = roles.audit_lines(tables)
+    return id_lists([IdList(name, refs, name) for name in ("reference_number", "contract_id")])
 
 
 @_over_tables
 def id_list_distinct_text(tables: Tables) -> DataFrame:
-    return audit_lists(roles.audit_lines(tables, roles.CURRENT))
+    return id_lists(audit_ids(roles.audit_lines(tables)))
+
+
+@_over_tables
+def rejected_values(tables: Tables) -> DataFrame:
+    return rejects(roles.export_texts(tables))
+
+
+@_over_tables
+def reconcile_bookings_by_months(tables: Tables) -> DataFrame:
+    """The bookings branch with periods of month numbers, taken from the close dates."""
+    return bookings.reconcile_bookings(roles.inputs(tables), BY_MONTHS)
 
 
 _plan("spine_variance", bookings.spine_variance, "prev1_usd", "prev2_usd")

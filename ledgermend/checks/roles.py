@@ -7,7 +7,7 @@ goods came back. Return flag and line status together form the ledger category.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 from functools import cached_property
 
@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermend.config import BookingRules, LossRules, Period, ReconConfig
-from ledgermend.functions.periods import in_period
 from ledgermend.sources.contracts import ReconInputs, conform
 
 CURRENT = Period(date(1997, 10, 1), date(1997, 12, 31))
@@ -53,6 +52,11 @@ CONFIG = ReconConfig(
 )
 
 
+QUARTERS = {name: Period(months=period.month_numbers()) for name, period in (("current", CURRENT), ("prev1", PREV1), ("prev2", PREV2))}
+BY_MONTHS = replace(CONFIG, bookings=replace(CONFIG.bookings, **QUARTERS))
+"""The same rules for bookings of the quarter's months in any year."""
+
+
 @dataclass(frozen=True)
 class Tables:
     """The driver's tables, each read once and only when a role needs it."""
@@ -136,13 +140,13 @@ def movement_ledger(source: Tables) -> DataFrame:
     )
 
 
-def audit_lines(source: Tables, period: Period | None = None) -> DataFrame:
-    """Supplier and line number of order lines; line 7 stands for a missing contract."""
-    lines = source.sold_lines()
-    if period is not None:
-        lines = lines.where(in_period(period, "l_shipdate"))
+def audit_lines(source: Tables) -> DataFrame:
+    """Supplier and line number of all order lines; line 7 stands for a missing contract.
+
+    Customers whose number ends in 3 have no audit reference.
+    """
     return conform(
-        lines.selectExpr(
+        source.sold_lines().where("o_custkey % 10 <> 3").selectExpr(
             "o_custkey AS customer_id",
             "l_suppkey AS reference_number",
             "nullif(l_linenumber, 7) AS contract_id",
@@ -152,7 +156,6 @@ def audit_lines(source: Tables, period: Period | None = None) -> DataFrame:
 
 
 def inputs(source: Tables) -> ReconInputs:
-    """All roles; the audit references are those of the reconciled quarter."""
     spine = customers(source)
     ledger = movement_ledger(source)
     bookings = booking_lines(source)
@@ -166,5 +169,27 @@ def inputs(source: Tables) -> ReconInputs:
         loss_lines=loss_lines(source),
         loss_history=loss_history(source),
         loss_ledger=ledger,
-        audit_refs=audit_lines(source, CURRENT),
+        audit_refs=audit_lines(source),
+    )
+
+
+def export_texts(source: Tables) -> dict[str, DataFrame]:
+    """Order exports as text; by their numbers, some hold what no contract can read."""
+    booked = source.orders.where("o_orderstatus IN ('O', 'P')").selectExpr(
+        "o_custkey AS customer_id",
+        "o_orderkey AS opportunity_id",
+        """CASE WHEN o_orderkey % 11 = 0 THEN format_string('%.2fd', o_totalprice)
+            WHEN o_orderkey % 13 = 0 THEN '' ELSE format_number(o_totalprice, 2) END AS recurring_revenue""",
+        "CASE WHEN o_orderkey % 17 = 0 THEN 'USD' ELSE concat('USD ', format_number(o_totalprice, 2)) END AS amount_local_text",
+        """CASE WHEN o_orderkey % 19 = 0 THEN date_format(o_orderdate, 'MM/dd/yyyy')
+            ELSE date_format(o_orderdate, 'yyyy-MM-dd') END AS start_date""",
+    )
+    lost = source.orders.where("o_orderstatus = 'F'").selectExpr(
+        "o_custkey AS customer_id",
+        "o_orderkey AS opportunity_id",
+        "o_orderdate AS contract_start",
+        """CASE WHEN o_orderkey % 23 = 0 THEN '(5.00)' WHEN o_orderkey % 29 = 0 THEN 'NaN'
+            ELSE format_number(-o_totalprice, 2) END AS amount_text""",
+        "-o_totalprice AS baseline_converted",
     )
+    return {"booking_lines": booked, "loss_lines": lost}

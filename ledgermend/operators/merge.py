@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermend.functions.idtext import NULL_TEXT
-from ledgermend.operators.idlists import KEY, id_lists, of_known_customers
+from ledgermend.operators.idlists import KEY, IdList, of_known_customers, with_lists
 
 # Result columns in order, with the headers of the report.
 REPORT_HEADERS = {
@@ -69,49 +71,47 @@ _MERGED = {
     "loss_label": "c.label",
     "booking_label": "b.label",
 }
-_MERGED_IDS = {"opportunity_id": "coalesce(b.opportunity_id, c.opportunity_id)"}
-
-
-def merge_branches(bookings: DataFrame, losses: DataFrame, with_ids: bool = True) -> DataFrame:
+def merge_branches(bookings: DataFrame, losses: DataFrame) -> DataFrame:
     """Full outer join of the branch results, one column list for both."""
-    rules = _MERGED | _MERGED_IDS if with_ids else _MERGED
     same_customer = F.expr("b.customer_id = c.customer_id")
     return (
         bookings.alias("b")
         .join(losses.alias("c"), same_customer, "full_outer")
-        .selectExpr(*(f"{rule} AS {name}" for name, rule in rules.items()))
+        .selectExpr(*(f"{rule} AS {name}" for name, rule in _MERGED.items()))
     )
 
 
-def audit_lists(refs: DataFrame) -> DataFrame:
-    return id_lists(of_known_customers(refs), ["reference_number", "contract_id"], distinct=True)
+# The ids of a branch that a customer is absent from, and hence has no label of, do not count.
+_OPPORTUNITIES = """coalesce(
+    CASE WHEN booking_label IS NOT NULL THEN booking_ids END,
+    CASE WHEN loss_label IS NOT NULL THEN loss_ids END)"""
 
 
-def attach_lists(
-    merged: DataFrame, booking_ids: DataFrame, loss_ids: DataFrame, refs: DataFrame
-) -> DataFrame:
+def attach_opportunities(merged: DataFrame, opportunities: Sequence[IdList]) -> DataFrame:
+    """The merged rows with the ids of their customer's bookings, or else losses.
+
+    ``opportunities`` are the lists ``booking_ids`` and ``loss_ids``.
+    """
+    listed = with_lists(merged, opportunities)
+    return listed.withColumn("opportunity_id", F.expr(_OPPORTUNITIES)).drop("booking_ids", "loss_ids")
+
+
+def audit_ids(refs: DataFrame) -> list[IdList]:
+    known = of_known_customers(refs)
+    return [IdList(name, known, name, distinct=True) for name in ("reference_number", "contract_id")]
+
+
+def attach_lists(merged: DataFrame, opportunities: Sequence[IdList], refs: DataFrame) -> DataFrame:
     """Distinct merged rows with the opportunity and audit ids of their customer.
 
     The lists depend on the customer alone and may be by far the widest columns,
-    so they come last: one placement by customer serves the removal of repeated
-    rows and all three joins, and no list is shuffled or compared again. A
-    customer absent from a branch has no label there, and none of its ids.
+    so they come last, all four in one pipeline: one placement by customer serves the removal
+    of repeated rows and the join, and no list is shuffled or compared again.
     """
-    ids = {
-        "opportunity_id": """coalesce(
-            CASE WHEN booking_label IS NOT NULL THEN booking_ids END,
-            CASE WHEN loss_label IS NOT NULL THEN loss_ids END)""",
-        "reference_number": f"coalesce(reference_number, '{NULL_TEXT}')",
-        "contract_id": f"coalesce(contract_id, '{NULL_TEXT}')",
-    }
-    return (
-        merged.repartition(KEY)
-        .distinct()
-        .join(booking_ids.withColumnRenamed("opportunity_id", "booking_ids"), KEY, "left")
-        .join(loss_ids.withColumnRenamed("opportunity_id", "loss_ids"), KEY, "left")
-        .join(audit_lists(refs), KEY, "left")
-        .selectExpr(*(f"{ids.get(name, name)} AS {name}" for name in REPORT_HEADERS))
-    )
+    distinct = merged.repartition(KEY).distinct()
+    listed = attach_opportunities(distinct, [*opportunities, *audit_ids(refs)])
+    missing = {name: f"coalesce({name}, '{NULL_TEXT}')" for name in ("reference_number", "contract_id")}
+    return listed.selectExpr(*(f"{missing.get(name, name)} AS {name}" for name in REPORT_HEADERS))
 
 
 def with_report_headers(result: DataFrame) -> DataFrame:

@@ -15,10 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermend.config import BookingRules, LossRules, Period, ReconConfig
-from ledgermend.functions.money import exact_sum, parse_amount, parse_prefixed_amount
+from ledgermend.functions.money import total, parse_amount, parse_prefixed_amount
 from ledgermend.functions.periods import in_period
 from ledgermend.operators.drivers import driver_of
-from ledgermend.operators.idlists import KEY, id_lists
+from ledgermend.operators.idlists import KEY, IdList, of_known_customers
 
 
 def latest(day: str) -> Column:
@@ -33,7 +33,7 @@ class Measure:
     source: DataFrame
     when: Column
     value: Column
-    combine: Callable[[str], Column] = exact_sum
+    combine: Callable[[str], Column] = total
 
 
 def rollup(measures: Sequence[Measure]) -> DataFrame:
@@ -65,12 +65,20 @@ def rollup(measures: Sequence[Measure]) -> DataFrame:
     )
 
 
-def closed_in(period: Period) -> Column:
-    return in_period(period, "close_date", "close_month")
+def closed_in(lines: DataFrame, period: Period) -> Column:
+    """Whether a booking line closed in the period, by the columns that the lines have.
+
+    Month numbers come from ``close_month``, or else from ``close_date``; a date
+    window needs ``close_date``.
+    """
+    needed = ["close_date"] if period.start else ["close_month", "close_date"]
+    if not set(needed) & set(lines.columns):
+        raise ValueError(f"bookings: the period needs a column {' or '.join(needed)}")
+    return in_period(period, "close_date", "close_month" if "close_month" in lines.columns else None)
 
 
 def booking_measures(lines: DataFrame, rules: BookingRules) -> list[Measure]:
-    current = closed_in(rules.current)
+    current = closed_in(lines, rules.current)
     return [
         Measure("booking_usd", lines, current, F.col("recurring_revenue")),
         Measure("booking_lcu", lines, current, parse_prefixed_amount(F.col("amount_local_text"))),
@@ -82,17 +90,14 @@ def prior_booking_measures(
     prev1: DataFrame, prev2: DataFrame, rules: BookingRules
 ) -> list[Measure]:
     return [
-        Measure("prev1_usd", prev1, closed_in(rules.prev1), F.col("recurring_revenue")),
-        Measure("prev2_usd", prev2, closed_in(rules.prev2), F.col("recurring_revenue")),
+        Measure("prev1_usd", prev1, closed_in(prev1, rules.prev1), F.col("recurring_revenue")),
+        Measure("prev2_usd", prev2, closed_in(prev2, rules.prev2), F.col("recurring_revenue")),
     ]
 
 
-def booking_ids(lines: DataFrame, rules: BookingRules) -> DataFrame:
-    return id_lists(lines.where(closed_in(rules.current)), ["opportunity_id"])
-
-
-def booking_rollup(lines: DataFrame, rules: BookingRules) -> DataFrame:
-    return _with_ids(rollup(booking_measures(lines, rules)), booking_ids(lines, rules))
+def booking_ids(lines: DataFrame, rules: BookingRules, name: str = "opportunity_id") -> IdList:
+    current = of_known_customers(lines).where(closed_in(lines, rules.current))
+    return IdList(name, current, "opportunity_id")
 
 
 def losses_in_period(lines: DataFrame, period: Period) -> DataFrame:
@@ -124,18 +129,9 @@ def loss_history_measures(history: DataFrame, rules: LossRules) -> list[Measure]
     ]
 
 
-def loss_ids(lines: DataFrame, rules: LossRules) -> DataFrame:
-    return id_lists(losses_in_period(lines, rules.current), ["opportunity_id"])
-
-
-def loss_rollup(lines: DataFrame, rules: LossRules) -> DataFrame:
-    return _with_ids(rollup(loss_measures(lines, rules)), loss_ids(lines, rules))
-
-
-def _with_ids(amounts: DataFrame, ids: DataFrame) -> DataFrame:
-    # Null-safe, because lines without a customer form a group of their own.
-    listed = ids.withColumnRenamed(KEY, "listed_for")
-    return amounts.join(listed, F.col(KEY).eqNullSafe(F.col("listed_for"))).drop("listed_for")
+def loss_ids(lines: DataFrame, rules: LossRules, name: str = "opportunity_id") -> IdList:
+    current = losses_in_period(of_known_customers(lines), rules.current)
+    return IdList(name, current, "opportunity_id")
 
 
 def ledger_rollup(
@@ -183,7 +179,7 @@ def ledger_rollup(
         .groupBy(KEY)
         .agg(
             F.max("current").alias("has_movement"),
-            *(exact_sum(f"({amount})").alias(name) for name, amount in amounts.items()),
+            *(total(f"({amount})").alias(name) for name, amount in amounts.items()),
         )
     )
     # A customer with movement but none for a driver has 0 there, not NULL.
@@ -198,14 +194,3 @@ def ledger_rollup(
         )
         columns.append(f"array_compact(array({entries})) AS monthly_losses")
     return totals.selectExpr(KEY, "arr_usd", "arr_lcu", *columns)
-
-
-def ledger_monthly_losses(ledger: DataFrame, config: ReconConfig) -> DataFrame:
-    """Negative movement per customer and month number of the monthly window."""
-    return (
-        ledger.where(F.col("row_type") == config.ledger_row_type)
-        .where(in_period(config.losses.monthly, "snapshot_date"))
-        .where("arr_usd < 0")
-        .groupBy(KEY, F.month("snapshot_date").alias("month"))
-        .agg(exact_sum("arr_usd").alias("month_arr_usd"))
-    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ledgermend.operators.idlists import KEY, of_known_customers
 
@@ -15,7 +16,11 @@ def spine(customers: DataFrame) -> DataFrame:
     without an id match nothing and never pass the movement filter; leaving
     them out also keeps them from piling up in one join partition.
     """
-    return of_known_customers(customers).select(KEY, "name").distinct()
+    names = F.collect_set(F.struct("name")).alias("names")
+    # Grouped by the customer alone, so that one placement serves this and all joins.
+    return (
+        of_known_customers(customers).groupBy(KEY).agg(names).select(KEY, F.explode("names").alias("one")).select(KEY, "one.name")
+    )
 
 
 def with_variance(

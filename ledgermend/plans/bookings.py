@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermend.config import ReconConfig
-from ledgermend.operators.idlists import KEY, of_known_customers
+from ledgermend.operators.idlists import KEY, with_lists
 from ledgermend.operators.labels import (
     booking_driver,
     booking_in_prior_period,
@@ -89,12 +89,7 @@ def labelled_bookings(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
     return driver_stage(inputs, config).select(*BRANCH_COLUMNS)
 
 
-def current_booking_ids(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
-    return booking_ids(of_known_customers(inputs.booking_lines), config.bookings)
-
-
 def reconcile_bookings(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
     """The labelled customers with the ids of their bookings."""
-    return labelled_bookings(inputs, config).join(
-        current_booking_ids(inputs, config), KEY, "left"
-    )
+    ids = booking_ids(inputs.booking_lines, config.bookings)
+    return with_lists(labelled_bookings(inputs, config), [ids])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermend.config import ReconConfig
-from ledgermend.operators.idlists import KEY, of_known_customers
+from ledgermend.operators.idlists import KEY, with_lists
 from ledgermend.operators.labels import (
     loss_driver,
     loss_in_prior_period,
@@ -111,10 +111,7 @@ def labelled_losses(
     return monthly_stage(inputs, config, every_month).select(*BRANCH_COLUMNS)
 
 
-def current_loss_ids(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
-    return loss_ids(of_known_customers(inputs.loss_lines), config.losses)
-
-
 def reconcile_losses(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
     """The labelled customers with their loss ids, repeated as in ``monthly_stage``."""
-    return labelled_losses(inputs, config).join(current_loss_ids(inputs, config), KEY, "left")
+    ids = loss_ids(inputs.loss_lines, config.losses)
+    return with_lists(labelled_losses(inputs, config), [ids])

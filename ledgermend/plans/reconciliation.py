@@ -5,15 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ledgermend.config import ReconConfig
-from ledgermend.operators.merge import attach_lists, merge_branches, with_report_headers
-from ledgermend.plans.bookings import current_booking_ids, labelled_bookings, reconcile_bookings
-from ledgermend.plans.losses import current_loss_ids, labelled_losses, reconcile_losses
+from ledgermend.operators.idlists import IdList
+from ledgermend.operators.merge import (
+    attach_lists,
+    attach_opportunities,
+    merge_branches,
+    with_report_headers,
+)
+from ledgermend.operators.rollups import booking_ids, loss_ids
+from ledgermend.plans.bookings import labelled_bookings
+from ledgermend.plans.losses import labelled_losses
 from ledgermend.sources.contracts import ReconInputs
 
 
+def opportunity_ids(inputs: ReconInputs, config: ReconConfig) -> list[IdList]:
+    return [
+        booking_ids(inputs.booking_lines, config.bookings, "booking_ids"),
+        loss_ids(inputs.loss_lines, config.losses, "loss_ids"),
+    ]
+
+
 def merged_branches(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
     """Both branch results side by side, a row per earlier month with losses."""
-    return merge_branches(reconcile_bookings(inputs, config), reconcile_losses(inputs, config))
+    merged = merge_branches(labelled_bookings(inputs, config), labelled_losses(inputs, config))
+    return attach_opportunities(merged, opportunity_ids(inputs, config))
 
 
 def audited_branches(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
@@ -22,16 +37,9 @@ def audited_branches(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
     Repeated rows vanish here, so the losses need not carry every month.
     """
     merged = merge_branches(
-        labelled_bookings(inputs, config),
-        labelled_losses(inputs, config, every_month=False),
-        with_ids=False,
-    )
-    return attach_lists(
-        merged,
-        current_booking_ids(inputs, config),
-        current_loss_ids(inputs, config),
-        inputs.audit_refs,
+        labelled_bookings(inputs, config), labelled_losses(inputs, config, every_month=False)
     )
+    return attach_lists(merged, opportunity_ids(inputs, config), inputs.audit_refs)
 
 
 def reconcile(inputs: ReconInputs, config: ReconConfig | None = None) -> DataFrame:

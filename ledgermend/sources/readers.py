@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermend.sources.contracts import ROLE_CONTRACTS, ReconInputs, conform
+from ledgermend.sources.contracts import CONTRACTS, ROLE_CONTRACTS, ReconInputs, conform, rejects
 
 
 def read_table(spark: SparkSession, location: str) -> DataFrame:
@@ -14,21 +14,36 @@ def read_table(spark: SparkSession, location: str) -> DataFrame:
     return spark.read.parquet(location) if "/" in location else spark.table(location)
 
 
-def read_inputs(spark: SparkSession, locations: Mapping[str, str]) -> ReconInputs:
-    """Conforming inputs; ``locations`` names a table or path for every role.
-
-    Roles that name the same location under the same contract share one
-    DataFrame.
-    """
+def _frames(spark: SparkSession, locations: Mapping[str, str]) -> dict[str, DataFrame]:
+    """Each role's table as stored; roles that name the same location share one DataFrame."""
     unknown = set(locations) - set(ROLE_CONTRACTS)
     missing = set(ROLE_CONTRACTS) - set(locations)
     if unknown or missing:
         raise ValueError(f"unknown roles {sorted(unknown)}, missing roles {sorted(missing)}")
-    frames: dict[tuple[str, str], DataFrame] = {}
+    stored = {location: read_table(spark, location) for location in set(locations.values())}
+    return {role: stored[locations[role]] for role in ROLE_CONTRACTS}
+
+
+def read_inputs(spark: SparkSession, locations: Mapping[str, str], strict: bool = True) -> ReconInputs:
+    """Conforming inputs; ``locations`` names a table or path for every role.
+
+    Roles that name the same location share one DataFrame if their contracts allow it. An unreadable number or date ends the run that needs it, or
+    without ``strict`` counts as NULL (see ``conform``).
+    """
+    frames = _frames(spark, locations)
+    conforming: dict[tuple[str, str], DataFrame] = {}
+    inputs = {}
     for role, contract in ROLE_CONTRACTS.items():
-        source = (locations[role], contract)
-        if source not in frames:
-            frames[source] = conform(read_table(spark, locations[role]), contract)
-    return ReconInputs(
-        **{role: frames[locations[role], contract] for role, contract in ROLE_CONTRACTS.items()}
-    )
+        # A frame of the location that has all fields of the contract serves it too.
+        fields = set(CONTRACTS[contract])
+        shared = [made for made in conforming if made[0] == locations[role] and fields <= set(CONTRACTS[made[1]])]
+        source = shared[0] if shared else (locations[role], contract)
+        if not shared:
+            conforming[source] = conform(frames[role], contract, strict)
+        inputs[role] = conforming[source]
+    return ReconInputs(**inputs)
+
+
+def read_rejects(spark: SparkSession, locations: Mapping[str, str]) -> DataFrame:
+    """The unreadable texts of all inputs: role, column, text, count."""
+    return rejects(_frames(spark, locations))

@@ -115,7 +115,7 @@ def build_inputs(spark, bookings=None, losses=None, extra_opportunities=(), audi
     losses = LOSSES if losses is None else losses
 
     def frame(table, rows, schema):
-        return conform(spark.createDataFrame(rows, schema), table)
+        return conform(spark.createDataFrame(rows, schema), table, strict=False)
 
     def spine(cases):
         return [(name, f"Name {name}") for name in cases] * 2 + [(None, "nobody")]

@@ -10,20 +10,16 @@ import pytest
 from golden import build_inputs
 from pyspark.sql import functions as F
 
-from ledgermend import ReconConfig, reconcile
+from ledgermend import ReconConfig, read_inputs, reconcile
 from ledgermend.checks.registry import QUERIES
 from ledgermend.checks.roles import CONFIG, Tables, audit_lines, inputs, movement_ledger
-from ledgermend.operators.idlists import id_lists
-from ledgermend.operators.merge import audit_lists
-from ledgermend.operators.rollups import (
-    booking_rollup,
-    ledger_monthly_losses,
-    ledger_rollup,
-    prior_booking_measures,
-    rollup,
-)
-from ledgermend.plans.bookings import current_booking_ids, spine_variance
-from ledgermend.plans.losses import current_loss_ids
+from ledgermend.functions.money import total
+from ledgermend.operators.idlists import IdList, id_lists
+from ledgermend.operators.merge import audit_ids
+from ledgermend.operators.rollups import ledger_rollup, prior_booking_measures, rollup
+from ledgermend.plans.bookings import spine_variance
+from ledgermend.plans.reconciliation import opportunity_ids
+from ledgermend.sources.contracts import ROLE_CONTRACTS
 
 LABELS = {value for value in vars(CONFIG.labels).values()} - {
     CONFIG.labels.undecided,
@@ -31,6 +27,9 @@ LABELS = {value for value in vars(CONFIG.labels).values()} - {
 }
 
 
+READ_TABLES = ("customer", "orders", "lineitem")
+
+
 def plan_of(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
@@ -59,15 +58,15 @@ def test_no_python_and_no_nested_loops(name, spark, sf_dir):
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_no_jobs_while_building(name, spark, sf_dir):
-    """Building a query reads footers at most; nothing is collected to the driver."""
-    tables = Tables(spark, sf_dir)
-    assert tables.orders and tables.customer and tables.lineitem
+    """Building a query computes nothing; a job for each table is Spark reading its columns."""
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup(f"build-{name}", name)
     QUERIES[name](spark, sf_dir)
     jobs = tracker.getJobIdsForGroup(f"build-{name}")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    assert len(jobs) <= 3
+    stages = [stage for job in jobs for stage in tracker.getJobInfo(job).stageIds]
+    names = {tracker.getStageInfo(stage).name.split(" ")[0] for stage in stages if tracker.getStageInfo(stage)}
+    assert names <= {"parquet"} and len(jobs) <= len(READ_TABLES)
 
 
 def test_window_reaches_the_scan(spark, sf_dir):
@@ -92,8 +91,10 @@ def test_exchanges_of_the_report(spark, sf_dir, no_broadcast):
     assert plan.count("BroadcastExchange") == 0
     # The full outer join and all joins before it reuse the placement by customer.
     by_customer = re.findall(r"Exchange hashpartitioning\(customer_id#\d+, \d+\)", plan)
-    # Two spines; CRM, ledger and id rollups of both branches; audit ids; merged rows.
-    assert len(by_customer) == 2 + 2 * 3 + 1 + 1
+    # Two spines; CRM and ledger rollups of both branches; id lists; merged rows.
+    assert len(by_customer) == 2 + 2 * 2 + 1 + 1
+    # Beside them six where the test roles join order lines to orders, and three for the id lists.
+    assert plan.count("Exchange ") == 8 + 6 + 3
     # Neither the final distinct nor anything else shuffles whole report rows.
     assert not re.search(r"Exchange hashpartitioning\([^)]*loss_label", plan)
 
@@ -105,7 +106,13 @@ def test_ledger_fold_equals_separate_aggregates(spark, sf_dir):
     movement = folded.drop("monthly_losses").where("arr_usd IS NOT NULL")
     assert sorted(movement.collect()) == sorted(plain.collect())
     months = folded.selectExpr("customer_id", "inline(monthly_losses)")
-    assert sorted(months.collect()) == sorted(ledger_monthly_losses(ledger, CONFIG).collect())
+    period = CONFIG.losses.monthly
+    apart = (
+        ledger.where(F.col("snapshot_date").between(period.start, period.end) & (F.col("arr_usd") < 0))
+        .groupBy("customer_id", F.month("snapshot_date"))
+        .agg(total("arr_usd"))
+    )
+    assert sorted(months.collect()) == sorted(apart.collect())
 
 
 def test_prior_periods_from_one_or_two_tables(spark, sf_dir):
@@ -163,7 +170,7 @@ def test_large_list_is_cut_and_joined_in_order(spark, distinct, without_coalesci
         F.when(F.col("id") % 3 == 0, "same").otherwise(F.expr("'' || id % 7919")).alias("ref"),
         F.when(F.col("id") % 5 != 0, F.col("id")).alias("gap"),
     )
-    result = id_lists(ids, ["ref", "gap"], distinct=distinct)
+    result = id_lists([IdList(name, ids, name, distinct) for name in ("ref", "gap")])
     found = {row[0]: row[1:] for row in result.collect()}
 
     expected: dict[str, tuple[list, list]] = {}
@@ -188,16 +195,51 @@ def test_large_list_is_spread_over_tasks(spark, without_coalescing):
 
 
 def test_audit_lists_skip_unknown_customers(spark, sf_dir):
-    lists = audit_lists(audit_lines(Tables(spark, sf_dir)))
+    lists = id_lists(audit_ids(audit_lines(Tables(spark, sf_dir))))
     assert lists.where("customer_id IS NULL").count() == 0
 
 
 def test_rows_without_customer_form_no_list(spark):
     roles = build_inputs(spark)
-    for lists in (current_booking_ids, current_loss_ids):
-        assert lists(roles, ReconConfig()).where("customer_id IS NULL").count() == 0
-    kept = booking_rollup(roles.booking_lines, ReconConfig().bookings)
-    assert kept.where("customer_id IS NULL").first()["opportunity_id"] == "lost"
+    for one in opportunity_ids(roles, ReconConfig()):
+        assert id_lists([one]).where("customer_id IS NULL").count() == 0
+
+
+@pytest.mark.parametrize("name", ["booking_rollup", "loss_rollup"])
+def test_exchanges_of_rollups_with_lists(name, spark, sf_dir, no_broadcast):
+    assert plan_of(QUERIES[name](spark, sf_dir)).count("Exchange ") <= 5
+
+
+def test_lists_of_several_sources(spark):
+    one = spark.createDataFrame([("a", "2"), ("a", "1"), ("a", "1"), ("b", None)], "customer_id string, x string")
+    two = spark.createDataFrame([("a", 7), ("a", 7), ("c", 9)], "customer_id string, y int")
+    lists = [IdList("all", one, "x"), IdList("once", one, "x", distinct=True), IdList("other", two, "y", distinct=True)]
+    found = {row[0]: row[1:] for row in id_lists(lists).collect()}
+    assert found == {"a": ("1,1,2", "1,2", "7"), "b": ("NULL", "NULL", None), "c": (None, None, "9")}
+
+
+def test_one_scan_per_location(spark, tmp_path, no_broadcast):
+    """Roles that share a location: one scan for amounts of a table, one for its ids; ledgers one per branch."""
+    locations = {}
+    tables = {"booking_lines": "bookings", "booking_history": "bookings", "movement_ledger": "ledger"}
+    made = inputs(Tables(spark, "/root/testdata/sf0.001"))
+    for role, contract in ROLE_CONTRACTS.items():
+        path = tmp_path / tables.get(contract, contract)
+        if not path.exists():
+            getattr(made, role).limit(0).write.parquet(str(path))
+        locations[role] = str(path)
+    report = reconcile(read_inputs(spark, locations), CONFIG)
+    plan = spark._jvm.PythonSQLUtils.explainString(report._jdf.queryExecution(), "formatted")
+    scans = Counter(re.findall(rf"Location: InMemoryFileIndex .file:{re.escape(str(tmp_path))}/(\w+)", plan))
+    assert scans == {
+        "booking_customers": 1,
+        "loss_customers": 1,
+        "bookings": 2,  # amounts of all periods, and ids
+        "loss_lines": 2,
+        "loss_history": 1,
+        "ledger": 2,  # one for each branch
+        "audit_refs": 1,
+    }
 
 
 def test_default_config_is_the_fourth_quarter():
