@@ -267,6 +267,36 @@ def _by_months(sql: str) -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
+    "id_list_quoting": r"""
+        WITH ids AS (
+            SELECT CAST(o_custkey AS VARCHAR) AS customer_id, CASE o_orderkey % 8
+                WHEN 0 THEN 'a ' || o_orderkey WHEN 1 THEN '' WHEN 2 THEN 'null' WHEN 3 THEN 'q"' || o_orderkey
+                WHEN 4 THEN 'b\' || o_orderkey WHEN 5 THEN '{' || o_orderkey || ',}'
+                WHEN 7 THEN CAST(o_orderkey AS VARCHAR) END AS id
+            FROM orders
+        ),
+        shown AS (
+            SELECT customer_id, id, CASE WHEN id IS NULL THEN 'NULL'
+                WHEN id = '' OR lower(id) = 'null' OR regexp_matches(id, '[\s,{}"\\]')
+                THEN '"' || translate(replace(replace(id, '\', '\\'), '"', '\"'), '{}', '') || '"'
+                ELSE id END AS element
+            FROM ids
+        )
+        SELECT customer_id, string_agg(element, ',' ORDER BY id ASC NULLS LAST) AS reference_number
+        FROM shown GROUP BY customer_id""",
+    "signed_amounts": """
+        SELECT CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
+            CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2)) * CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE 1 END) AS DOUBLE) AS amount
+        FROM orders GROUP BY 1""",
+    "share_ties": """
+        SELECT order_id, CASE WHEN gap > 0 THEN round_even(ramp / gap * 100, 0) ELSE 0 END AS share,
+            CASE WHEN ramp >= uplift AND ramp >= winback THEN 'ramp' WHEN uplift >= winback THEN 'uplift' ELSE 'winback' END AS largest
+        FROM (
+            SELECT o_orderkey AS order_id, CAST(o_orderkey % 400 AS DOUBLE) AS ramp, CAST(o_custkey % 400 AS DOUBLE) AS uplift,
+                CAST(greatest(o_orderkey % 400, o_custkey % 400) - o_orderkey % 2 AS DOUBLE) AS winback,
+                CASE WHEN o_orderkey % 11 = 0 THEN 0 ELSE 200 END AS gap
+            FROM orders
+        )""",
     "rejected_values": " UNION ALL ".join(
         f"""SELECT '{role}' AS role, '{column}' AS "column", {text} AS text, count(*) AS count
             FROM orders WHERE {rows} GROUP BY ALL HAVING count(*) > 0"""

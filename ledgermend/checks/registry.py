@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ledgermend.checks import roles
 from ledgermend.checks.roles import BY_MONTHS, CONFIG, Tables
 from ledgermend.config import Period, ReconConfig
-from ledgermend.functions.money import parse_amount, parse_prefixed_amount
+from ledgermend.functions.money import parse_amount, parse_prefixed_amount, share_percent
 from ledgermend.functions.periods import in_period
+from ledgermend.functions.rules import largest_of
 from ledgermend.operators import rollups
 from ledgermend.operators.drivers import driver_of
 from ledgermend.operators.idlists import KEY, IdList, id_lists, with_lists
@@ -21,6 +22,7 @@ from ledgermend.sources.contracts import ReconInputs, rejects
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+KEY_TEXT = "reference_number"
 
 
 def _over_tables(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
@@ -124,6 +126,32 @@ def id_list_distinct_text(tables: Tables) -> DataFrame:
     return id_lists(audit_ids(roles.audit_lines(tables)))
 
 
+@_over_tables
+def id_list_quoting(tables: Tables) -> DataFrame:
+    """Ids that need quotes, empty ones, and the word that stands for a missing one."""
+    return id_lists([IdList(KEY_TEXT, roles.odd_ids(tables), KEY_TEXT)])
+
+
+@_over_tables
+def signed_amounts(tables: Tables) -> DataFrame:
+    """Prefixed amounts of both signs, and their totals with rows that have no customer."""
+    lines = roles.signed_lines(tables)
+    parsed = lines.withColumn("amount", parse_prefixed_amount(F.col("text")))
+    return rollups.rollup([rollups.Measure("amount", parsed, F.lit(True), F.col("amount"))])
+
+
+@_over_tables
+def share_ties(tables: Tables) -> DataFrame:
+    """Shares that lie between two percents, and largest drivers that are as large as another."""
+    pairs = roles.tied_drivers(tables)
+    drivers = [(F.col(name), name) for name in ("ramp", "uplift", "winback")]
+    return pairs.select(
+        "order_id",
+        share_percent(F.col("ramp"), F.col("gap")).alias("share"),
+        largest_of(drivers).alias("largest"),
+    )
+
+
 @_over_tables
 def rejected_values(tables: Tables) -> DataFrame:
     return rejects(roles.export_texts(tables))

@@ -193,3 +193,33 @@ def export_texts(source: Tables) -> dict[str, DataFrame]:
         "-o_totalprice AS baseline_converted",
     )
     return {"booking_lines": booked, "loss_lines": lost}
+
+
+def odd_ids(source: Tables) -> DataFrame:
+    """Order numbers as ids that hold blanks, commas, quotes, backslashes and braces, by their last digit."""
+    return source.orders.selectExpr(
+        "CAST(o_custkey AS STRING) AS customer_id",
+        r"""CASE o_orderkey % 8 WHEN 0 THEN concat('a ', o_orderkey) WHEN 1 THEN '' WHEN 2 THEN 'null'
+            WHEN 3 THEN concat('q"', o_orderkey) WHEN 4 THEN concat('b', chr(92), o_orderkey)
+            WHEN 5 THEN concat('{', o_orderkey, ',}') WHEN 6 THEN NULL
+            ELSE CAST(o_orderkey AS STRING) END AS reference_number""",
+    )
+
+
+def signed_lines(source: Tables) -> DataFrame:
+    """Prefixed amounts, every third one negative, every seventh without customer."""
+    return source.orders.selectExpr(
+        "CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_custkey AS STRING) END AS customer_id",
+        "concat('EUR ', format_number(IF(o_orderkey % 3 = 0, -o_totalprice, o_totalprice), 2)) AS text",
+    )
+
+
+def tied_drivers(source: Tables) -> DataFrame:
+    """Driver amounts with many ties; shares of the gap end in .5 percent for odd amounts."""
+    return source.orders.selectExpr(
+        "o_orderkey AS order_id",
+        "CAST(o_orderkey % 400 AS DOUBLE) AS ramp",
+        "CAST(o_custkey % 400 AS DOUBLE) AS uplift",
+        "CAST(greatest(o_orderkey % 400, o_custkey % 400) - o_orderkey % 2 AS DOUBLE) AS winback",
+        "CAST(IF(o_orderkey % 11 = 0, 0, 200) AS DOUBLE) AS gap",
+    )
