@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgermend.llm.files import committed, filesystem, read_manifest, write_manifest
 from ledgermend.llm.shingling import parts_of
+from ledgermend.llm.store import written
 
 ROLL_BYTES = 64 << 20
 """Compressed size at which an archive ends."""
@@ -95,14 +96,16 @@ def write_archives(
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     records = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     records = records.withColumn("sha1", F.sha1("payload"))
-    # Only payloads that occur again need a partner; they are counted without the payloads themselves.
-    again = (
+    # Only payloads that occur again need a partner; they are counted without the payloads themselves, and
+    # written first, so that Spark knows the table's size before it decides whether to shuffle payloads.
+    again = written(
         records.where(F.octet_length("payload") >= least_bytes)
         .groupBy("sha1").agg(F.max("page_id").alias("response"), F.count("*").alias("n"))
-        .where("n > 1 and response is not null")
+        .where("n > 1 and response is not null").drop("n"),
+        "again",
     )
     order = ["page_id", "sha1", "url"]
-    sorted_records = records.join(again.drop("n"), "sha1", "left").repartitionByRange(*order).sortWithinPartitions(*order)
+    sorted_records = records.join(again, "sha1", "left").repartitionByRange(*order).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, roll, before = TaskContext.get().partitionId(), 0, None
@@ -130,8 +133,8 @@ def write_archives(
                 yield pa.RecordBatch.from_pydict({"file": [name], "records": [count], "bytes": [size]})
 
     # One row for each archive comes to the driver.
-    written = sorted_records.select(*order, "payload", "response").mapInArrow(write, FILE_SCHEMA).collect()
-    write_manifest(uri, sorted((row.asDict() for row in written), key=lambda f: f["file"]))
+    archives = sorted_records.select(*order, "payload", "response").mapInArrow(write, FILE_SCHEMA).collect()
+    write_manifest(uri, sorted((row.asDict() for row in archives), key=lambda f: f["file"]))
 
 
 @dataclass
