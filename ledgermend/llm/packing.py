@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermend.llm.shingling import parts_of
+from ledgermend.llm.store import ship
 from ledgermend.llm.word_bpe import word_bpe
 
 SENTENCE_CUT, INNER_CUT = 16, 96
@@ -172,6 +173,7 @@ def pack(documents: DataFrame, vocabulary: str, end_id: int, length: int = 2048)
         if line.waiting:
             yield from rows(line.pieces(last=True), base)
 
+    ship(documents.sparkSession)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     order = [F.col("doc_id"), F.xxhash64("text")]
     return texts.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(plan, SCHEMA)

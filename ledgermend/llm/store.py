@@ -2,11 +2,33 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_PACKAGE = Path(__file__).resolve().parents[1]
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to Python workers that would not find it, once per application.
+
+    Workers find what lies in the driver's working folder (local mode) or on PYTHONPATH, and what was
+    submitted with --py-files.
+    """
+    application = spark.sparkContext.applicationId
+    found = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if application in _shipped or any(folder and Path(folder).resolve() == _PACKAGE.parent for folder in found):
+        return
+    if _PACKAGE.is_dir():  # not from an archive that was itself submitted
+        archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='ledgermend-')}/ledgermend", "zip", _PACKAGE.parent, _PACKAGE.name)
+        spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder of `spark.checkpoint.dir`; in local mode without it, a new one under /tmp.
@@ -29,12 +51,14 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: computed once, and safe from lost executors."""
+    ship(df.sparkSession)
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
