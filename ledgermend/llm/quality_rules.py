@@ -144,5 +144,7 @@ def judged(rows: DataFrame, stats: str, kept: str) -> DataFrame:
     """
     lang, source, found = (free_name(rows, name) for name in ("of_lang", "of_source", "limits"))
     by_group = limits(rows.where(~base_failed(stats)), stats).select(F.col("lang").alias(lang), F.col("source").alias(source), F.col("limits").alias(found))
+    # Written, so that Spark knows its size before it decides whether to shuffle the rows.
+    by_group = written(by_group, "limits")
     of_row = (group_key("lang") == F.col(lang)) & (group_key("source") == F.col(source))
     return rows.join(by_group, of_row, "left").withColumn(kept, ~base_failed(stats) & within(stats, found)).drop(lang, source, found)
