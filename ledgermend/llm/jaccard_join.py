@@ -7,15 +7,19 @@ the similarity share a shingle among their first ones (the prefix), so a documen
 documents of its own prefix shingles:
 
 1. Documents with equal sets are one class, of which the smallest doc_id goes on.
-2. In each prefix shingle's group one document, chosen by hash, is the probe of all others. That
-   gives pairs in proportion to the rows and settles every group of two.
-3. The candidates of a probe are stored in a trie over the ordered shingles. One walk of the trie
-   counts overlaps with the probe, once for all sets that share a path, and leaves a branch
-   when the shingles that remain on either side cannot reach the similarity.
-4. Groups of three or more whose documents are not yet in one component meet in full, but only pairs
-   of different components that the length and position bounds allow; these are verified alike.
-
-Step 4 makes the result exact. Links come from counted overlaps, never from an estimate.
+2. In each prefix shingle's group the smallest document is the probe of all others. A document
+   follows the probe that it meets in most of its prefix, a third at least; documents joined by that are a
+   cluster, however many copies of one text there are. This takes work in proportion to the rows.
+3. The sets of a cluster go to one task, or in blocks of bounded size to one task for each pair of blocks.
+   They are stored in a trie over the ordered shingles, and each set of the other block walks it: a walk
+   counts overlaps once for all sets that share a path, and leaves a branch when the shingles that remain
+   on either side cannot reach the similarity. Only links that join components are returned.
+4. Groups whose documents are in different clusters and components meet pair by pair where the lengths and
+   the places of the shingle allow; a shingle that many texts have stands late in their orders and
+   allows few. A pair's common prefix shingles are counted, and it is compared, again through tries, if
+   they, with all that may follow the prefixes, can reach the similarity.
+
+Steps 3 and 4 make the result exact. Links come from counted overlaps, never from an estimate.
 
 The hashes have 58 bits: two different shingles of one pair of documents count as one with a
 probability below 1e-8 for a thousand shingles each.
@@ -27,19 +31,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermend.llm.components import components
-from ledgermend.llm.shingling import mix, shingle_hashes, shingle_sets
+from ledgermend.llm.shingling import mix, parts_of, shingle_hashes, shingle_sets
 from ledgermend.llm.store import written
 
 SLOTS = 1 << 17
 """Counters of the frequency table; it is all that the driver sees of the shingles."""
 
 CLASS_BITS = 6
+BROADCAST_IDS = 1 << 20
+"""Up to so many ids of candidates are broadcast to find their texts; more are joined by a shuffle."""
+
 BLOCK_SHINGLES = 1 << 20
-"""Shingles of the candidate sets in one trie; a probe with more candidates gets several tries."""
+BLOCK_SETS = 512
+"""Shingles and sets in one trie, about; larger groups are cut into blocks."""
 
 NAMES = pa.schema(
     [("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("prefix", pa.list_(pa.int64()))]
@@ -51,7 +59,7 @@ def frequency_classes(texts: DataFrame, width: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.int64)
-        for batch in batches:
+        for batch in parts_of(batches):
             hashes = shingle_hashes(batch["text"], width)
             counts += np.bincount((hashes & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
         slots = np.flatnonzero(counts)
@@ -91,7 +99,7 @@ def documents_of(texts: DataFrame, width: int, percent: int, classes: np.ndarray
     """(doc_id, n, h1, h2, prefix): set size, a 128-bit hash of the set, first keys in order."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
             n, h1, h2, prefixes = [], [], [], []
             for shingles in shingle_sets(batch["text"], width):
                 keys = ordered(shingles, classes)
@@ -119,17 +127,16 @@ def documents_of(texts: DataFrame, width: int, percent: int, classes: np.ndarray
 
 
 def sets_of(texts: DataFrame, width: int, classes: np.ndarray) -> DataFrame:
-    """(doc_id, n, keys): whole ordered sets as little-endian bytes."""
+    """texts with n and keys, the whole ordered set as little-endian bytes, in place of the text."""
+    others = [name for name in texts.columns if name != "text"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
             sets = [ordered(s, classes) for s in shingle_sets(batch["text"], width)]
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"].cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                ["doc_id", "n", "keys"],
-            )
+            made = [pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*(batch[name] for name in others), *made], [*others, "n", "keys"])
 
-    return texts.select("doc_id", "text").mapInArrow(rows, "doc_id long, n long, keys binary")
+    return texts.mapInArrow(rows, ", ".join(f"{name} long" for name in others) + ", n long, keys binary")
 
 
 def reaches(overlap, n: int, m: int, percent: int):
@@ -193,10 +200,86 @@ class Trie:
                 todo += ((child, overlap) for child in children)
 
 
+def _blocks() -> Column:
+    """How many blocks rows with a set size n make."""
+    return F.greatest(F.floor(F.sum("n") / BLOCK_SHINGLES), F.floor(F.count("*") / BLOCK_SETS)) + 1
+
+
+def clusters(met: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, cluster, block, blocks) of the documents that share much of their prefix with a probe.
+
+    met has a row for each document of each prefix shingle's group: key, doc_id, n, at and probe.
+    """
+    strong = (
+        met.where("not probe").alias("d").join(met.where("probe").alias("p"), "key")
+        .where(_alike_in_length(percent, "d", "p"))
+        .groupBy(F.col("p.doc_id").alias("x"), F.col("d.doc_id").alias("y"), F.col("p.n").alias("nx"), F.col("d.n").alias("ny"))
+        .agg(F.count("*").alias("common"))
+        .where(F.col("common") * 3 * 100 >= F.col("ny") * (100 - percent))
+    )
+    strong = written(strong, "strong")
+    follows = strong.groupBy("y").agg(F.max(F.struct("common", (-F.col("x")).alias("low"))).alias("best")).select((-F.col("best.low")).alias("x"), "y")
+    sizes = strong.select(F.col("x").alias("doc_id"), F.col("nx").alias("n")).union(strong.select("y", "ny")).groupBy("doc_id").agg(F.max("n").alias("n"))
+    placed = components(follows).join(sizes.withColumnRenamed("doc_id", "node"), "node")
+    volume = placed.groupBy("component").agg(_blocks().alias("blocks"))
+    return placed.join(volume, "component").select(
+        F.col("node").alias("doc_id"), F.col("component").alias("cluster"), F.pmod(F.xxhash64("node"), "blocks").alias("block"), "blocks"
+    )
+
+
+def joined_in_clusters(members: DataFrame, percent: int) -> DataFrame:
+    """Links (x, y) that join the sets of each cluster into components; members: sets with clusters' columns."""
+    meets = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "doc_id", "keys"
+    )
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, sets = None, []
+
+        def found() -> list[tuple[int, int]]:
+            return _joining(key, sets, percent) if len(sets) > 1 else []
+
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            columns = [batch[c].to_pylist() for c in ("cluster", "low", "high", "block", "doc_id")]
+            for i, (cluster, low, high, block, doc_id) in enumerate(zip(*columns, strict=True)):
+                if (cluster, low, high) != key:
+                    out += found()
+                    key, sets = (cluster, low, high), []
+                sets.append((block, doc_id, np.frombuffer(batch["keys"][i].as_buffer(), np.uint64)))
+            yield _pairs(out)
+        yield _pairs(found())
+
+    by = ("cluster", "low", "high")
+    return meets.repartition(*by).sortWithinPartitions(*by, "doc_id").mapInArrow(check, "x long, y long")
+
+
+def _joining(key: tuple[int, int, int], sets: list[tuple[int, int, np.ndarray]], percent: int) -> list[tuple[int, int]]:
+    """Links between two blocks' sets, or of one block's, that each join two groups of earlier links."""
+    _, low, high = key
+    trie = Trie([(doc_id, keys) for block, doc_id, keys in sets if block == low])
+    above = {doc_id: doc_id for _, doc_id, _ in sets}
+
+    def top(doc_id: int) -> int:
+        while above[doc_id] != doc_id:
+            above[doc_id] = doc_id = above[above[doc_id]]
+        return doc_id
+
+    out = []
+    for block, doc_id, keys in sets:
+        if block == high:
+            for other, _ in trie.linked(keys, percent):
+                a, b = top(doc_id), top(other)
+                if a != b:
+                    above[a] = b
+                    out.append((doc_id, other))
+    return out
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) whose sets reach the similarity; x is the probe of a trie of its ys."""
     sized = pairs.join(sets.select(F.col("doc_id").alias("y"), "n", "keys"), "y")
-    volume = sized.groupBy("x").agg((F.floor(F.sum("n") / BLOCK_SHINGLES) + 1).alias("blocks"))
+    volume = sized.groupBy("x").agg(_blocks().alias("blocks"))
     stored = sized.join(volume, "x").select("x", F.pmod(F.xxhash64("y"), F.col("blocks")).alias("block"), F.lit(1).alias("role"), "y", "keys")
     probes = (
         volume.join(sets.select(F.col("doc_id").alias("x"), "keys"), "x")
@@ -232,13 +315,18 @@ def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], ["x", "y"])
 
 
-def _possible(percent: int, a: str, b: str):
-    """The bounds on lengths and on what follows the common shingle in both sets."""
-    most = 1 + F.least(F.col(f"{a}.n") - F.col(f"{a}.at"), F.col(f"{b}.n") - F.col(f"{b}.at"))
-    both = F.col(f"{a}.n") + F.col(f"{b}.n")
-    return (most * (100 + percent) >= percent * both) & (
-        F.least(f"{a}.n", f"{b}.n") * 100 >= percent * F.greatest(f"{a}.n", f"{b}.n")
-    )
+def _most(a: str, b: str) -> Column:
+    """The largest overlap of two sets of which this is the first common shingle."""
+    return 1 + F.least(F.col(f"{a}.n") - F.col(f"{a}.at"), F.col(f"{b}.n") - F.col(f"{b}.at"))
+
+
+def _alike_in_length(percent: int, a: str, b: str) -> Column:
+    return F.least(f"{a}.n", f"{b}.n") * 100 >= percent * F.greatest(f"{a}.n", f"{b}.n")
+
+
+def _behind_prefix(percent: int, n: str) -> Column:
+    """How many shingles of a set of n lie behind its prefix."""
+    return F.ceil(F.col(n) * percent / 100) - 1
 
 
 def jaccard_components(documents: DataFrame, width: int, percent: int) -> DataFrame:
@@ -260,37 +348,46 @@ def jaccard_components(documents: DataFrame, width: int, percent: int) -> DataFr
     posting = reps.select("doc_id", "n", F.posexplode("prefix").alias("at", "key")).selectExpr(
         "key", "doc_id", "cast(n as int) n", "at + 1 at"
     )
-    # One row of each group is its probe, chosen by a hash that all groups share.
-    groups = posting.groupBy("key").agg(F.count("*").alias("rows"), F.min(F.xxhash64("doc_id")).alias("low")).where("rows > 1")
+    # The smallest document of each group is its probe.
+    groups = posting.groupBy("key").agg(F.count("*").alias("rows"), F.min("doc_id").alias("low")).where("rows > 1")
     met = written(
-        posting.join(groups, "key").select("key", "doc_id", "n", "at", "rows", (F.xxhash64("doc_id") == F.col("low")).alias("probe")),
+        posting.join(groups, "key").select("key", "doc_id", "n", "at", "rows", (F.col("doc_id") == F.col("low")).alias("probe")),
         "groups",
     )
-    first = (
-        met.where("not probe").alias("d").join(met.where("probe").alias("p"), "key").where(_possible(percent, "d", "p"))
-        .select(F.col("p.doc_id").alias("x"), F.col("d.doc_id").alias("y")).distinct()
-    )
-    first = written(first, "pairs")
-    links = _links(first, texts, width, percent, classes, "links")
+    grouped = written(clusters(met, percent), "clusters")
+    members = written(sets_of(_texts_of(texts, grouped), width, classes), "members")
+    links = written(joined_in_clusters(members, percent), "links")
     parts = components(links)
 
-    # Groups of three or more that still hold more than one component.
-    placed = (
-        met.where("rows > 2").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .select("key", "doc_id", "n", "at", F.coalesce("component", "doc_id").alias("part"))
+    placed = written(
+        met.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").join(grouped.select("doc_id", "cluster"), "doc_id", "left")
+        .select("key", "doc_id", "n", "at", F.coalesce("component", "doc_id").alias("part"), F.coalesce("cluster", "doc_id").alias("cluster")),
+        "placed",
     )
-    open_keys = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key")
-    rest = written(placed.join(open_keys, "key", "left_semi"), "open")
-    more = (
+    open_keys = placed.groupBy("key").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high")).where("low <> high").select("key")
+    rest = placed.join(open_keys, "key", "left_semi")
+    different = (F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.part") != F.col("b.part")) & (F.col("a.cluster") != F.col("b.cluster"))
+    met_twice = written(
         rest.alias("a").join(rest.alias("b"), "key")
-        .where((F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.part") != F.col("b.part")) & _possible(percent, "a", "b"))
-        .select(F.col("a.doc_id").alias("x"), F.col("b.doc_id").alias("y")).distinct()
+        .where(different & _alike_in_length(percent, "a", "b") & reaches(_most("a", "b"), F.col("a.n"), F.col("b.n"), percent))
+        .select(F.col("a.doc_id").alias("x"), F.col("b.doc_id").alias("y"), F.col("a.n").alias("n"), F.col("b.n").alias("m")).distinct(),
+        "pairs",
+    )
+    # Beyond the prefix that ends first, only the rest of its set can be common.
+    first_keys = reps.select("doc_id", "prefix")
+    behind = F.greatest(_behind_prefix(percent, "n"), _behind_prefix(percent, "m"))
+    common = F.size(F.array_intersect("of_x", "of_y"))
+    more = written(
+        met_twice.join(first_keys.select(F.col("doc_id").alias("x"), F.col("prefix").alias("of_x")), "x")
+        .join(first_keys.select(F.col("doc_id").alias("y"), F.col("prefix").alias("of_y")), "y")
+        .where(reaches(common + behind, F.col("n"), F.col("m"), percent))
+        .select("x", "y").distinct(),
+        "candidates",
     )
-    tried = first.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-    more = written(more.join(tried, ["x", "y"], "left_anti"), "pairs")
     if not more.isEmpty():
-        links = links.union(_links(more, texts, width, percent, classes, "links"))
-        parts = components(links)
+        wanted = more.select(F.col("x").alias("doc_id")).union(more.select("y")).distinct()
+        sets = written(sets_of(_texts_of(texts, written(wanted, "wanted")), width, classes), "sets")
+        parts = components(links.union(written(verified(more, sets, percent), "links")))
 
     of_class = same.join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "n", "h1", "h2", F.coalesce("component", "rep").alias("component_id")
@@ -298,8 +395,7 @@ def jaccard_components(documents: DataFrame, width: int, percent: int) -> DataFr
     return docs.join(of_class, ["n", "h1", "h2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
-def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int, classes: np.ndarray, name: str) -> DataFrame:
-    """The verified pairs; only texts that occur in a pair are made into sets again."""
-    wanted = pairs.select(F.col("x").alias("doc_id")).union(pairs.select("y")).distinct()
-    sets = written(sets_of(texts.join(wanted, "doc_id", "left_semi"), width, classes), "sets")
-    return written(verified(pairs, sets, percent), name)
+def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts of the wanted doc_ids, with wanted's columns; only few ids are broadcast."""
+    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    return texts.join(side, "doc_id")
