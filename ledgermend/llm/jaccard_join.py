@@ -374,7 +374,7 @@ def jaccard_components(documents: DataFrame, width: int, percent: int) -> DataFr
         "pairs",
     )
     # Beyond the prefix that ends first, only the rest of its set can be common.
-    first_keys = reps.select("doc_id", "prefix")
+    first_keys = docs.select("doc_id", "prefix")
     behind = F.greatest(_behind_prefix(percent, "n"), _behind_prefix(percent, "m"))
     common = F.size(F.array_intersect("of_x", "of_y"))
     more = written(
