@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermend.llm.shingling import word_hashes
+from ledgermend.llm.shingling import parts_of, parts_of_column, word_hashes
 from ledgermend.llm.text_stats import text_stats
 
 TRAIN_ROWS = 4000
@@ -87,9 +87,9 @@ class NeighbourModel:
 
     def scores(self, column: pa.Array) -> np.ndarray:
         """The similarity-weighted share of label 1 among the nearest labelled vectors."""
-        shape, out = surface(column), []
-        for at in range(0, len(column), BLOCK):
-            block = self.features(word_counts(column.slice(at, BLOCK)), self.idf, shape[at : at + BLOCK])
+        out = []
+        for block in (part.slice(at, BLOCK) for part in parts_of_column(column) for at in range(0, len(part), BLOCK)):
+            block = self.features(word_counts(block), self.idf, surface(block))
             cosines = _unit(block @ self.space) @ self.vectors.T
             k = min(NEIGHBOURS, cosines.shape[1])
             nearest = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
@@ -116,7 +116,7 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "quality") -> Ne
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
             counts, shape = word_counts(batch["text"]), surface(batch["text"]).astype(np.float32)
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["label"], pa.array([c.tobytes() for c in counts], pa.binary()), pa.array([s.tobytes() for s in shape], pa.binary())],

@@ -9,10 +9,12 @@ language with fewer those of the whole corpus. The limits are joined back and fi
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgermend.llm.shingling import parts_of_column
 from ledgermend.llm.store import free_name, written
 from ledgermend.llm.text_stats import STATS, text_stats
 
@@ -42,7 +44,8 @@ def stats_of(text: Column) -> Column:
 
     @F.arrow_udf("struct<" + ",".join(f"{name}:bigint" for name in STATS) + ">")
     def stats(texts: pa.Array) -> pa.Array:
-        counts = text_stats(texts)
+        parts = [text_stats(part) for part in parts_of_column(texts)]
+        counts = {name: np.concatenate([np.zeros(0, np.int64), *(part[name] for part in parts)]) for name in STATS}
         return pa.StructArray.from_arrays([pa.array(counts[name]) for name in STATS], names=list(STATS))
 
     return stats(F.coalesce(text.cast("string"), F.lit("")))

@@ -6,6 +6,7 @@ numpy over the UTF-8 bytes, in windows of bounded size that end between words.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -61,13 +62,34 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 def parts_of(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """The batches in slices whose texts have about `most` bytes, or of one text."""
     for batch in batches:
-        ends = np.cumsum(pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-        start = 0
-        while start < len(batch):
-            before = ends[start - 1] if start else 0
-            end = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+        for start, end in _ranges(batch[text], most):
             yield batch.slice(start, end - start)
-            start = end
+        release()
+
+
+def release() -> None:
+    """Returns freed memory to the system, as workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only where the C library has it
+    if trim:
+        trim(0)
+
+
+def parts_of_column(column: pa.Array, most: int = 1 << 22) -> Iterator[pa.Array]:
+    """The texts of a column in slices of about `most` bytes, or of one text."""
+    for start, end in _ranges(column, most):
+        yield column.slice(start, end - start)
+    release()
+
+
+def _ranges(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield start, end
+        start = end
 
 
 def _words_of_window(data: np.ndarray, text_starts: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -15,7 +15,7 @@ from functools import lru_cache
 import numpy as np
 import tokenizers
 
-KEPT_WORDS, KEPT_PIECES = 1 << 18, 1 << 19
+KEPT_WORDS, KEPT_PIECES = 1 << 16, 1 << 18
 """Words and pieces whose ids a worker keeps; others are encoded whenever they occur."""
 
 #: Letters that are their own composed form and have one lower-case letter: Latin-1 without signs.
