@@ -1,5 +1,9 @@
 """Quality rules whose limits follow the corpus: fences from quantile sketches per language and source.
 
+A sketch counts each different text of a language and source once, so copies move no limit. A fence starts from the
+median and takes its spread from the half of the texts on the other side, which outliers beyond the fence do not
+reach while they are fewer than half: with a third of them, the fence stays within what the other texts have.
+
 The sketch of a rate is a histogram over whole numbers with 32 buckets to each power of two (exact below
 64, within 3 % above). Histograms merge by adding counts, so they are built with map-side partial sums
 however large a group is, are the same in any order, and the sketches of all sources of a language add up
@@ -9,12 +13,14 @@ language with fewer those of the whole corpus. The limits are joined back and fi
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermend.llm.shingling import parts_of_column
+from ledgermend.llm.shingling import parts_of_column, text_bytes
 from ledgermend.llm.store import free_name, written
 from ledgermend.llm.text_stats import STATS, text_stats
 
@@ -23,7 +29,9 @@ MIN_WORDS = 50
 
 MIN_ROWS = 200
 SPREADS = 3
-"""A fence lies so many interquartile distances outside the quartile."""
+"""A fence lies so many interquartile distances outside the quartile, for rates whose halves mirror each other."""
+HALF_SPREADS = 2 * SPREADS + 1
+"""The same distance from the median, in distances between the median and the other half's quartile."""
 
 #: Rates: factor, counted, out of; and what the upper fence allows besides the spread.
 RATES = {
@@ -40,13 +48,18 @@ LIMITS = [f"{name}_max" for name in RATES] + [f"{name}_min" for name in LOW_RATE
 
 
 def stats_of(text: Column) -> Column:
-    """A struct of the counts of text_stats; null counts as empty."""
+    """A struct of the counts of text_stats and a digest of the text; null counts as empty."""
 
-    @F.arrow_udf("struct<" + ",".join(f"{name}:bigint" for name in STATS) + ">")
+    @F.arrow_udf("struct<" + ",".join(f"{name}:bigint" for name in STATS) + ",digest:binary>")
     def stats(texts: pa.Array) -> pa.Array:
-        parts = [text_stats(part) for part in parts_of_column(texts)]
+        parts, digests = [], []
+        for part in parts_of_column(texts):
+            parts.append(text_stats(part))
+            data, offsets = text_bytes(part)
+            digests += [blake2b(data[a:b], digest_size=16).digest() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         counts = {name: np.concatenate([np.zeros(0, np.int64), *(part[name] for part in parts)]) for name in STATS}
-        return pa.StructArray.from_arrays([pa.array(counts[name]) for name in STATS], names=list(STATS))
+        columns = [pa.array(counts[name]) for name in STATS]
+        return pa.StructArray.from_arrays([*columns, pa.array(digests, pa.binary())], names=[*STATS, "digest"])
 
     return stats(F.coalesce(text.cast("string"), F.lit("")))
 
@@ -62,6 +75,17 @@ def bucket(value: str) -> Column:
     return F.expr(f"shiftleft(shiftright({value}, greatest(length(bin({value})) - 6, 0)), greatest(length(bin({value})) - 6, 0))")
 
 
+def distinct_texts(rows: DataFrame, stats: str) -> DataFrame:
+    """(lang, source, counts): each different text of a group once; map-side partial steps drop most copies."""
+    counts = F.struct(*[F.col(f"{stats}.{name}").alias(name) for name in STATS])
+    return (
+        rows.select(group_key("lang"), group_key("source"), F.col(f"{stats}.digest").alias("digest"), counts.alias("counts"))
+        .groupBy("lang", "source", "digest")
+        .agg(*[F.min(f"counts.{name}").alias(name) for name in STATS])
+        .select("lang", "source", F.struct(*STATS).alias("counts"))
+    )
+
+
 def sketches(rows: DataFrame, stats: str) -> DataFrame:
     """(lang, source, rate, low, rows): the histogram of each rate in each group."""
     pairs = F.explode(F.array(*[F.struct(F.lit(name).alias("rate"), rate(name, stats).alias("value")) for name in RATES]))
@@ -84,19 +108,20 @@ def fences(sketch: DataFrame, *keys: str) -> DataFrame:
     ranked = sketch.select(
         "*", F.sum("rows").over(group.orderBy("low")).alias("upto"), F.sum("rows").over(group).alias("total")
     )
-    quartiles = (
+    quarters = (
         ranked.where(F.col("total") >= MIN_ROWS)
         .groupBy(*keys, "rate")
-        .agg(*[F.min(F.when(F.col("upto") * 4 >= F.col("total") * k, F.col("low"))).alias(f"q{k}") for k in (1, 3)])
+        .agg(*[F.min(F.when(F.col("upto") * 4 >= F.col("total") * k, F.col("low"))).alias(f"q{k}") for k in (1, 2, 3)])
     )
-    spread = SPREADS * (F.col("q3") - F.col("q1"))
+    above = F.col("q2") + HALF_SPREADS * (F.col("q2") - F.col("q1"))
+    below = F.col("q2") - HALF_SPREADS * (F.col("q3") - F.col("q2"))
 
     def limit(name: str, value: Column, suffix: str) -> Column:
         return F.max(F.when(F.col("rate") == name, value)).alias(f"{name}_{suffix}")
 
-    return quartiles.groupBy(*keys).agg(
-        *[limit(name, F.col("q3") + spread + slack, "max") for name, (*_, slack) in RATES.items()],
-        *[limit(name, F.col("q1") - spread - slack, "min") for name, slack in LOW_RATES.items()],
+    return quarters.groupBy(*keys).agg(
+        *[limit(name, above + slack, "max") for name, (*_, slack) in RATES.items()],
+        *[limit(name, below - slack, "min") for name, slack in LOW_RATES.items()],
     )
 
 
@@ -141,12 +166,12 @@ def group_key(name: str) -> Column:
 def judged(rows: DataFrame, stats: str, kept: str) -> DataFrame:
     """The rows with a boolean column `kept`, by the counts in their struct column `stats`.
 
-    rows have lang and source, of which null counts as the empty name. Limits come from all rows that pass
-    the base rule; a row stays if it passes too and lies within its group's limits. Texts without words
+    rows have lang and source, of which null counts as the empty name. Limits come from the
+    different texts of all rows that pass the base rule; a row stays if it passes too and lies within its group's limits. Texts without words
     fail the base rule. Repeated rows are judged alike; an empty table gives no rows.
     """
     lang, source, found = (free_name(rows, name) for name in ("of_lang", "of_source", "limits"))
-    by_group = limits(rows.where(~base_failed(stats)), stats).select(F.col("lang").alias(lang), F.col("source").alias(source), F.col("limits").alias(found))
+    by_group = limits(distinct_texts(rows.where(~base_failed(stats)), stats), "counts").select(F.col("lang").alias(lang), F.col("source").alias(source), F.col("limits").alias(found))
     # Written, so that Spark knows its size before it decides whether to shuffle the rows.
     by_group = written(by_group, "limits")
     of_row = (group_key("lang") == F.col(lang)) & (group_key("source") == F.col(source))
