@@ -7,8 +7,9 @@ reach while they are fewer than half: with a third of them, the fence stays with
 The sketch of a rate is a histogram over whole numbers with 32 buckets to each power of two (exact below
 64, within 3 % above). Histograms merge by adding counts, so they are built with map-side partial sums
 however large a group is, are the same in any order, and the sketches of all sources of a language add up
-to the language's. A group with fewer than `MIN_ROWS` documents takes the limits of its language, and a
-language with fewer those of the whole corpus. The limits are joined back and filter the rows.
+to the language's. A group of any size has limits: its sketch is merged with `PRIOR_ROWS` texts spread
+evenly over the sketch of its language, and that with as many from the whole corpus, so limits move
+smoothly as a group grows. The limits are joined back and filter the rows.
 """
 
 from __future__ import annotations
@@ -28,6 +29,11 @@ MIN_WORDS = 50
 """Base rule: shorter documents fail, and so do those with more than half of their words repeated."""
 
 MIN_ROWS = 200
+"""Fewest rows of a group with limits in the query's SQL; not used here."""
+
+PRIOR_ROWS = 50
+"""How many texts the sketch of the next coarser group counts as in a group's own."""
+
 SPREADS = 3
 """A fence lies so many interquartile distances outside the quartile, for rates whose halves mirror each other."""
 HALF_SPREADS = 2 * SPREADS + 1
@@ -102,17 +108,23 @@ def merged(sketch: DataFrame, *keys: str) -> DataFrame:
     return sketch.groupBy(*keys, "rate", "low").agg(F.sum("rows").alias("rows"))
 
 
-def fences(sketch: DataFrame, *keys: str) -> DataFrame:
-    """(keys, <rate>_max, <rate>_min): the limits of each group with at least MIN_ROWS documents."""
+def placed(sketch: DataFrame, *keys: str) -> DataFrame:
+    """The histograms with the count up to each bucket and the whole one."""
     group = Window.partitionBy(*keys, "rate")
-    ranked = sketch.select(
-        "*", F.sum("rows").over(group.orderBy("low")).alias("upto"), F.sum("rows").over(group).alias("total")
-    )
-    quarters = (
-        ranked.where(F.col("total") >= MIN_ROWS)
-        .groupBy(*keys, "rate")
-        .agg(*[F.min(F.when(F.col("upto") * 4 >= F.col("total") * k, F.col("low"))).alias(f"q{k}") for k in (1, 2, 3)])
-    )
+    return sketch.select("*", F.sum("rows").over(group.orderBy("low")).alias("upto"), F.sum("rows").over(group).alias("total"))
+
+
+def prior(sketch: DataFrame, *keys: str) -> DataFrame:
+    """Histograms of PRIOR_ROWS texts, spread evenly over those given."""
+    upto = [f"(2 * {PRIOR_ROWS} * {rows} + total) div (2 * total)" for rows in ("upto", "(upto - rows)")]
+    return placed(sketch, *keys).select(*keys, "rate", "low", F.expr(f"{upto[0]} - {upto[1]}").alias("rows")).where("rows > 0")
+
+
+def fences(sketch: DataFrame, *keys: str) -> DataFrame:
+    """(keys, <rate>_max, <rate>_min): the limits of each group."""
+    ranked = placed(sketch, *keys)
+    quarter = [F.min(F.when(F.col("upto") * 4 >= F.col("total") * k, F.col("low"))).alias(f"q{k}") for k in (1, 2, 3)]
+    quarters = ranked.groupBy(*keys, "rate").agg(*quarter)
     above = F.col("q2") + HALF_SPREADS * (F.col("q2") - F.col("q1"))
     below = F.col("q2") - HALF_SPREADS * (F.col("q3") - F.col("q2"))
 
@@ -126,22 +138,15 @@ def fences(sketch: DataFrame, *keys: str) -> DataFrame:
 
 
 def limits(rows: DataFrame, stats: str) -> DataFrame:
-    """(lang, source, limits) for every group, each limit from the finest group that is large enough."""
+    """(lang, source, limits) for every group."""
     by_source = written(sketches(rows, stats), "sketches")
     by_lang = merged(by_source, "lang")
-    overall = fences(merged(by_lang.withColumn("all", F.lit(1)), "all"), "all").drop("all")
-
-    def renamed(df: DataFrame, level: str) -> DataFrame:
-        return df.select(*[c if c in ("lang", "source") else F.col(c).alias(f"{level}_{c}") for c in df.columns])
-
-    found = (
-        by_source.select("lang", "source").distinct()
-        .join(renamed(fences(by_source, "lang", "source"), "source"), ["lang", "source"], "left")
-        .join(renamed(fences(by_lang, "lang"), "lang"), "lang", "left")
-        .join(F.broadcast(renamed(overall, "all")), F.lit(True), "left")  # one row at most
-    )
-    chosen = [F.coalesce(f"source_{n}", f"lang_{n}", f"all_{n}").alias(n) for n in LIMITS]
-    return found.select("lang", "source", F.struct(*chosen).alias("limits"))
+    overall = prior(merged(by_lang.withColumn("all", F.lit(1)), "all"), "all").drop("all")  # PRIOR_ROWS rows a rate at most
+    of_lang = by_lang.select("lang").distinct().join(F.broadcast(overall))
+    of_lang = prior(merged(by_lang.unionByName(of_lang), "lang"), "lang")
+    of_source = by_source.select("lang", "source").distinct().join(of_lang, "lang")
+    found = fences(merged(by_source.unionByName(of_source), "lang", "source"), "lang", "source")
+    return found.select("lang", "source", F.struct(*LIMITS).alias("limits"))
 
 
 def base_failed(stats: str) -> Column:
@@ -150,12 +155,12 @@ def base_failed(stats: str) -> Column:
 
 
 def within(stats: str, found: str) -> Column:
-    """Whether no rate lies beyond its limit; a limit that no group could give does not count."""
+    """Whether no rate lies beyond its limit."""
     ok = F.lit(True)
     for name in RATES:
-        ok = ok & F.coalesce(rate(name, stats) <= F.col(f"{found}.{name}_max"), F.lit(True))
+        ok = ok & (rate(name, stats) <= F.col(f"{found}.{name}_max"))
     for name in LOW_RATES:
-        ok = ok & F.coalesce(rate(name, stats) >= F.col(f"{found}.{name}_min"), F.lit(True))
+        ok = ok & (rate(name, stats) >= F.col(f"{found}.{name}_min"))
     return ok
 
 
@@ -166,12 +171,13 @@ def group_key(name: str) -> Column:
 def judged(rows: DataFrame, stats: str, kept: str) -> DataFrame:
     """The rows with a boolean column `kept`, by the counts in their struct column `stats`.
 
-    rows have lang and source, of which null counts as the empty name. Limits come from the
-    different texts of all rows that pass the base rule; a row stays if it passes too and lies within its group's limits. Texts without words
-    fail the base rule. Repeated rows are judged alike; an empty table gives no rows.
+    rows have lang and source, of which null counts as the empty name. Limits come from the different texts
+    of all rows that pass the base rule; a row stays if it passes too and lies within its group's limits. Texts
+    without words fail the base rule. Repeated rows are judged alike; an empty table gives no rows.
     """
     lang, source, found = (free_name(rows, name) for name in ("of_lang", "of_source", "limits"))
-    by_group = limits(distinct_texts(rows.where(~base_failed(stats)), stats), "counts").select(F.col("lang").alias(lang), F.col("source").alias(source), F.col("limits").alias(found))
+    passing = distinct_texts(rows.where(~base_failed(stats)), stats)
+    by_group = limits(passing, "counts").select(F.col("lang").alias(lang), F.col("source").alias(source), F.col("limits").alias(found))
     # Written, so that Spark knows its size before it decides whether to shuffle the rows.
     by_group = written(by_group, "limits")
     of_row = (group_key("lang") == F.col(lang)) & (group_key("source") == F.col(source))
