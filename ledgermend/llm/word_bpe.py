@@ -2,8 +2,8 @@
 
 The vocabulary's normaliser folds white space and letters, its pre-tokeniser cuts a text into pieces,
 and the merges of a piece depend on nothing else. Pieces repeat far more than texts, so each worker keeps the
-ids of the pieces that it has met. Words of plain letters, digits and marks are cut here; any other word
-goes through the whole tokeniser. A word ends at an ASCII space, which no piece holds and which normalisation
+ids of the pieces that it has met. Words of plain letters, digits and marks are cut here; any other word,
+and any that holds an added token such as <|endoftext|>, goes through the whole tokeniser. A word ends at an ASCII space, which no piece holds and which normalisation
 leaves alone.
 """
 
@@ -52,7 +52,8 @@ class _Memo(dict):
 class WordBpe:
     def __init__(self, path: str):
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
         self.model = self.tokenizer.model
         self.words = _Memo(self._word, KEPT_WORDS)
         self.pieces = _Memo(self._piece, KEPT_PIECES)
@@ -62,7 +63,7 @@ class WordBpe:
         return np.array([token.id for token in self.model.tokenize(letters)], "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        if _PLAIN.fullmatch(word):
+        if _PLAIN.fullmatch(word) and not self.added.search(word):
             return b"".join(map(self.pieces.__getitem__, _PIECES.findall(word.lower())))
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
