@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermend.llm.byte_bpe import decoded, encoded
+from ledgermend.llm.conversation_repair import damaged, repair, transcript_hashes
+from ledgermend.llm.decontamination import contamination
 from ledgermend.llm.exact_dedup import DigestIndex, deduplicate
 from ledgermend.llm.jaccard_join import jaccard_components
 from ledgermend.llm.license_scan import BASE_NOTICES, scan_notices
@@ -18,6 +20,7 @@ from ledgermend.llm.quality_classifier import held_out, quality_score, train
 from ledgermend.llm.quality_rules import base_failed, judged, stats_of
 from ledgermend.llm.sharding import shard_rows
 from ledgermend.llm.sql import ORACLE_SQL
+from ledgermend.llm.token_alignment import alignments
 from ledgermend.llm.store import new_path, table, written
 from ledgermend.llm.warc import read_archives, write_archives
 
@@ -117,3 +120,38 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = new_path(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), archives)
     return read_archives(spark, archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@_query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    repaired = repair(damaged(conversations))
+    hashes = transcript_hashes(repaired.turns)
+    every = conversations.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    joined = every.alias("e").join(repaired.conversations.alias("r"), F.expr("e.conv_id <=> r.conv_id"), "left").join(hashes.alias("h"), F.expr("e.conv_id <=> h.conv_id"), "left")
+    counts = [F.coalesce(F.col(name), F.lit(0)).cast("long").alias(name) for name in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return joined.select(
+        "e.conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    )
+
+
+@_query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabularies = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    return alignments(table(spark, sf_dir, "documents"), *vocabularies, groups=[digest]).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )

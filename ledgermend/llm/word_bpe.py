@@ -33,7 +33,7 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
-_BYTE_LETTERS = "".join(letter for _, letter in sorted(_byte_letters().items()))
+BYTE_LETTERS = "".join(letter for _, letter in sorted(_byte_letters().items()))
 
 
 class _Memo(dict):
@@ -59,7 +59,7 @@ class WordBpe:
         self.pieces = _Memo(self._piece, KEPT_PIECES)
 
     def _piece(self, piece: str) -> bytes:
-        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_LETTERS)
         return np.array([token.id for token in self.model.tokenize(letters)], "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
