@@ -59,7 +59,7 @@ _RELATIONS = {
     "refs": """
         SELECT customer_id, CAST(l_suppkey AS VARCHAR) AS reference_number,
             CAST(nullif(l_linenumber, 7) AS VARCHAR) AS contract_id
-        FROM sold_lines WHERE CAST(customer_id AS BIGINT) % 10 <> 3""",
+        FROM sold_lines""",
     "booked": f"""
         SELECT customer_id, {_money('usd')} AS booking_usd,
             {_money("replace(trim(substr(local_text, 4)), ',', '')")} AS booking_lcu,
@@ -352,4 +352,23 @@ ORACLE_SQL: dict[str, str] = {
     "merge_branches": _query("SELECT * FROM merged"),
     "attach_audit_refs": _query("SELECT * FROM audited"),
     "reconciliation": _query(_REPORT),
+    "calendar_filter": _query(
+        """SELECT customer_id, opportunity_id, lost AS contract_start, CAST(replace(usd_text, ',', '') AS DOUBLE) AS loss_usd
+            FROM loss_lines WHERE month(lost) IN (10, 11, 12) AND CAST(replace(usd_text, ',', '') AS DOUBLE) < 0"""
+    ),
+    "ledger_store_rollup": _query("SELECT * FROM moved JOIN driven USING (customer_id)"),
+    "ledger_store_monthly_losses": _query("SELECT * FROM lost_by_month"),
+    "drivers_by_table": _query("SELECT * FROM moved JOIN driven USING (customer_id)"),
+    "id_list_chunks": _query(
+        f"""SELECT customer_id, {_id_list('reference_number')} AS reference_number, {_id_list('contract_id')} AS contract_id
+            FROM refs GROUP BY customer_id"""
+    ),
+    "id_list_bitmaps": _query(
+        f"""SELECT customer_id, {_id_list('DISTINCT reference_number')} AS reference_number,
+                {_id_list('DISTINCT contract_id')} AS contract_id
+            FROM refs GROUP BY customer_id"""
+    ),
+    "report_by_period": _query(
+        _REPORT.replace('" ARR LCU TTL Customer Movement "', '"ARR LCU TTL Customer Movement"').replace("SELECT ", "SELECT '1997Q4' AS period, ", 1)
+    ),
 }

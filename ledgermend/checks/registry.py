@@ -8,20 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermend.checks import roles
-from ledgermend.checks.roles import BY_MONTHS, CONFIG, Tables
+from ledgermend.checks.roles import BY_MONTHS, CONFIG, HISTORY, Tables
 from ledgermend.config import Period, ReconConfig
 from ledgermend.functions.money import parse_amount, parse_prefixed_amount, share_percent
 from ledgermend.functions.periods import in_period
 from ledgermend.functions.rules import largest_of
-from ledgermend.operators import rollups
+from ledgermend.operators import idbitmaps, rollups
 from ledgermend.operators.drivers import driver_of
+from ledgermend.operators.idchunks import read_chunks, write_chunks
 from ledgermend.operators.idlists import KEY, IdList, id_lists, with_lists
 from ledgermend.operators.merge import audit_ids
 from ledgermend.plans import bookings, losses, reconciliation
+from ledgermend.sources.calendar import calendar, within_period
 from ledgermend.sources.contracts import ReconInputs, rejects
+from ledgermend.sources.ledger_store import LedgerStore
+from ledgermend.sources.periods_sink import read_periods, write_period
+from ledgermend.sources.workspace import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+STORED: dict[str, Query] = {}
+"""Queries that write tables on the way, and so run jobs before their result is read."""
+
 KEY_TEXT = "reference_number"
 
 
@@ -31,6 +39,12 @@ def _over_tables(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], Dat
     return build
 
 
+def _stored(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+    """Registers a query that writes tables on the way."""
+    STORED[build.__name__] = lambda spark, sf_dir: build(Tables(spark, sf_dir))
+    return build
+
+
 def _plan(name: str, build: Callable[[ReconInputs, ReconConfig], DataFrame], *unused: str) -> None:
     """Registers a plan over all roles, without its ``unused`` columns."""
     QUERIES[name] = lambda spark, sf_dir: build(
@@ -163,6 +177,77 @@ def reconcile_bookings_by_months(tables: Tables) -> DataFrame:
     return bookings.reconcile_bookings(roles.inputs(tables), BY_MONTHS)
 
 
+@_over_tables
+def calendar_filter(tables: Tables) -> DataFrame:
+    """Losses of the quarter's months in any year, by the days of a calendar."""
+    quarter = Period(months=CONFIG.losses.current.month_numbers())
+    lost = roles.loss_lines(tables).withColumn("day", F.col("contract_start").cast("date"))
+    found = within_period(lost, "day", quarter, calendar(tables.spark, HISTORY.start, HISTORY.end))
+    return found.select(KEY, "opportunity_id", F.col("day").alias("contract_start"), parse_amount(F.col("amount_text")).alias("loss_usd")).where("loss_usd < 0")
+
+
+def _ledger_store(tables: Tables) -> LedgerStore:
+    """The ledger in a store that was filled in three deliveries, one of them twice."""
+    store, ledger = LedgerStore(tables.spark, new_path(tables.spark, "ledger-store")), roles.movement_ledger(tables)
+    for period in ("DATE'1997-07-01' <= snapshot_date", "DATE'1997-11-01' <= snapshot_date", "snapshot_date < DATE'1997-07-01'"):
+        store.add_days(ledger.where(period))
+    return store
+
+
+@_stored
+def ledger_store_rollup(tables: Tables) -> DataFrame:
+    return _ledger_store(tables).rollup(CONFIG, {**CONFIG.bookings.drivers, **CONFIG.losses.drivers})
+
+
+@_stored
+def ledger_store_monthly_losses(tables: Tables) -> DataFrame:
+    folded = _ledger_store(tables).rollup(CONFIG, CONFIG.losses.drivers, CONFIG.losses.monthly)
+    return folded.selectExpr(KEY, "inline(monthly_losses) AS (month, month_arr_usd)")
+
+
+@_stored
+def drivers_by_table(tables: Tables) -> DataFrame:
+    """The ledger rollup with its drivers from a mapping table, made from the categories that occur."""
+    categories = roles.movement_ledger(tables).select(F.col("bridge_account").alias("category")).distinct()
+    drivers = {**CONFIG.bookings.drivers, **CONFIG.losses.drivers}
+    mapping = categories.withColumn("driver", driver_of(F.col("category"), drivers)).where("driver IS NOT NULL")
+    return rollups.ledger_rollup_by_table(roles.movement_ledger(tables), CONFIG, mapping)
+
+
+@_stored
+def id_list_chunks(tables: Tables) -> DataFrame:
+    """The lists of all order lines, written in chunks and put together again."""
+    refs, path = roles.audit_lines(tables), new_path(tables.spark, "id-chunks")
+    names = ("reference_number", "contract_id")
+    write_chunks([IdList(name, refs, name) for name in names], path, chunk_rows=16, run=4)
+    joined = "listagg(CASE WHEN list = {} THEN text END, ',') WITHIN GROUP (ORDER BY chunk)"
+    return read_chunks(tables.spark, path).groupBy(KEY).agg(*(F.expr(joined.format(k)).alias(name) for k, name in enumerate(names)))
+
+
+@_stored
+def id_list_bitmaps(tables: Tables) -> DataFrame:
+    """Distinct lists from bitmaps of two periods, made apart and merged."""
+    lines = roles.audit_lines(tables)
+    halves = [lines.where(f"CAST(reference_number AS BIGINT) % 2 = {k}") for k in (0, 1)]
+    lists = []
+    for name in ("reference_number", "contract_id"):
+        words = idbitmaps.dictionary(lines, name, new_path(tables.spark, "id-bitmaps"))
+        maps = idbitmaps.merged(*(idbitmaps.bitmaps(half, name, words) for half in halves))
+        lists.append(IdList(name, idbitmaps.expanded(maps, words), "id", distinct=True))
+    return id_lists(lists)
+
+
+@_stored
+def report_by_period(tables: Tables) -> DataFrame:
+    """The report written to its quarter of a table, twice, and read again."""
+    path = new_path(tables.spark, "report")
+    report = reconciliation.reconcile(roles.inputs(tables), CONFIG)
+    write_period(report, path, "1997Q3")
+    for _ in range(2):
+        write_period(report, path, "1997Q4", most_change=0.1)
+    return read_periods(tables.spark, path, "1997Q4")
+
+
 _plan("spine_variance", bookings.spine_variance, "prev1_usd", "prev2_usd")
 _plan("bookings_stage1", bookings.materiality_stage, "prev1_usd", "prev2_usd")
 _plan("bookings_stage2", bookings.prior_period_stage)

@@ -18,6 +18,8 @@ from ledgermend.config import BookingRules, LossRules, Period, ReconConfig
 from ledgermend.sources.contracts import ReconInputs, conform
 
 CURRENT = Period(date(1997, 10, 1), date(1997, 12, 31))
+HISTORY = Period(date(1990, 1, 1), date(2009, 12, 31))
+"""The years that the driver's tables can have."""
 PREV1 = Period(date(1997, 7, 1), date(1997, 9, 30))
 PREV2 = Period(date(1997, 4, 1), date(1997, 6, 30))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,16 +23,51 @@ def parse_prefixed_amount(text: Column) -> Column:
     return parse_amount(F.trim(F.substring(text, CURRENCY_PREFIX_LENGTH + 1, 2**31 - 1)))
 
 
+BIN_BITS = 24
+BIN_EXPONENTS = (48, 24, 0, -24, -48, -72, -96)
+"""The powers of two that the bins of a total count."""
+
+BOUND = 2.0**100
+"""Amounts from this size on, infinite ones and NaN are added as they are, beside the bins."""
+
+BINS = len(BIN_EXPONENTS) + 1
+
+
+def split(amount: Column) -> list[Column]:
+    """The amount as whole numbers of 2^48, 2^24, .. 2^-96, and what no bin can hold, each NULL or exact.
+
+    Multiplying by a power of two, rounding to whole numbers and taking a rounded number's upper
+    part away are all exact for doubles, so nothing above half of 2^-96 is lost.
+    """
+    fits = F.abs(amount) < BOUND
+    digits = [F.rint(amount * (2.0**-exponent)) for exponent in BIN_EXPONENTS]
+    lower = [digit - upper * (2.0**BIN_BITS) for upper, digit in zip(digits[:-1], digits[1:], strict=True)]
+    return [F.when(fits, part.cast("bigint")) for part in (digits[0], *lower)] + [F.when(~fits, amount)]
+
+
+def recombined(sums: Sequence[Column]) -> Column:
+    """The double from the sums of all bins, rounded to 13 significant digits; NULL when nothing was added."""
+    *bins, beside = sums
+    parts = [part.cast("double") * (2.0**exponent) for part, exponent in zip(bins, BIN_EXPONENTS, strict=True)]
+    inside = parts[0]
+    for part in parts[1:]:
+        inside = inside + part
+    # Powers of ten up to 10^22 are exact, so the digits kept are those of the decimal number.
+    shift = (TOTAL_DIGITS - 1) - F.floor(F.log10(F.abs(inside)))
+    up, down = F.pow(F.lit(10.0), F.greatest(shift, F.lit(0))), F.pow(F.lit(10.0), F.greatest(-shift, F.lit(0)))
+    rounded = F.when(inside == 0, 0.0).when(shift > 22, inside).when(shift >= 0, F.rint(inside * up) / up).otherwise(F.rint(inside / down) * down)
+    return F.when(beside.isNull(), rounded).otherwise(F.coalesce(inside, F.lit(0.0)) + beside)
+
+
 def total(amount: str) -> Column:
-    """Sum of the double column ``amount``, whole and then rounded to 13 significant digits.
+    """Sum of the double column ``amount``, bit-equal however its rows are ordered and partitioned.
 
-    Every amount is added as it is. Only the finished total is rounded, which
-    takes away what the order of addition left behind, so that a retried or
-    re-coalesced shuffle does not move it across a threshold; its relative error
-    stays below 1e-12. NaN and infinite amounts give NaN or infinite totals. NULL
-    when there is nothing to add.
+    Each amount is split into bins of 24 bits that are added as integers, which no order changes and
+    no cancelling of large amounts blurs; 2^38 rows of one group fill no bin. The finished total is rounded to
+    13 significant digits, which takes away what decimal amounts lack as doubles. NaN and infinite amounts
+    give NaN or infinite totals. NULL when there is nothing to add.
     """
-    return F.expr(f"try_cast(format_string('%.{TOTAL_DIGITS - 1}e', sum({amount})) AS DOUBLE)")
+    return recombined([F.sum(part) for part in split(F.expr(amount))])
 
 
 def share_percent(part: Column, whole: Column) -> Column:

@@ -46,13 +46,9 @@ def id_lists(lists: Sequence[IdList]) -> DataFrame:
     it lies. Only finished pieces, at most one per partition, meet in the end;
     they are as large as the cell they form.
     """
-    by_source: dict[int, list[tuple[int, IdList]]] = {}
-    for number, one in enumerate(lists):
-        by_source.setdefault(id(one.source), []).append((number, one))
-    stacked = reduce(DataFrame.unionByName, map(_entries, by_source.values()))
-    counted = stacked.groupBy(KEY, "list", "id").agg(F.expr("count(1)").alias("copies"))
+    counted = counted_ids(lists)
     element = element_text("id")
-    once = F.col("list").isin([number for number, one in enumerate(lists) if one.distinct])
+    once = listed_once(lists)
     pieces = (
         counted.repartitionByRange(KEY, "list", F.col("id").asc_nulls_last())
         .select(
@@ -73,6 +69,20 @@ def id_lists(lists: Sequence[IdList]) -> DataFrame:
     )
 
 
+def counted_ids(lists: Sequence[IdList]) -> DataFrame:
+    """(customer_id, list, id, copies): each id of each list once."""
+    by_source: dict[int, list[tuple[int, IdList]]] = {}
+    for number, one in enumerate(lists):
+        by_source.setdefault(id(one.source), []).append((number, one))
+    stacked = reduce(DataFrame.unionByName, map(_entries, by_source.values()))
+    return stacked.groupBy(KEY, "list", "id").agg(F.expr("count(1)").alias("copies"))
+
+
+def listed_once(lists: Sequence[IdList]) -> Column:
+    """Whether a list shows each id once."""
+    return F.col("list").isin([number for number, one in enumerate(lists) if one.distinct])
+
+
 def _entries(own: list[tuple[int, IdList]]) -> DataFrame:
     """The ids of all lists of one source, each with the number of its list."""
     ids = [

@@ -71,13 +71,20 @@ _MERGED = {
     "loss_label": "c.label",
     "booking_label": "b.label",
 }
+
+
+def merged_columns(**own: str) -> list[str]:
+    """The columns of the merged rows over a bookings side b and a losses side c; ``own`` gives some another rule."""
+    return [f"{rule} AS {name}" for name, rule in {**_MERGED, **own}.items()]
+
+
 def merge_branches(bookings: DataFrame, losses: DataFrame) -> DataFrame:
     """Full outer join of the branch results, one column list for both."""
     same_customer = F.expr("b.customer_id = c.customer_id")
     return (
         bookings.alias("b")
         .join(losses.alias("c"), same_customer, "full_outer")
-        .selectExpr(*(f"{rule} AS {name}" for name, rule in _MERGED.items()))
+        .selectExpr(*merged_columns())
     )
 
 
@@ -105,11 +112,10 @@ def attach_lists(merged: DataFrame, opportunities: Sequence[IdList], refs: DataF
     """Distinct merged rows with the opportunity and audit ids of their customer.
 
     The lists depend on the customer alone and may be by far the widest columns,
-    so they come last, all four in one pipeline: one placement by customer serves the removal
+    so they come last, all four in one pipeline: the placement by customer that ``merged`` has serves the removal
     of repeated rows and the join, and no list is shuffled or compared again.
     """
-    distinct = merged.repartition(KEY).distinct()
-    listed = attach_opportunities(distinct, [*opportunities, *audit_ids(refs)])
+    listed = attach_opportunities(merged.distinct(), [*opportunities, *audit_ids(refs)])
     missing = {name: f"coalesce({name}, '{NULL_TEXT}')" for name in ("reference_number", "contract_id")}
     return listed.selectExpr(*(f"{missing.get(name, name)} AS {name}" for name in REPORT_HEADERS))
 

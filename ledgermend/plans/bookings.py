@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermend.config import ReconConfig
+from ledgermend.config import Labels, ReconConfig
 from ledgermend.operators.idlists import KEY, with_lists
 from ledgermend.operators.labels import (
     booking_driver,
@@ -41,6 +41,12 @@ BRANCH_COLUMNS = (
 )
 
 
+def presence(labels: Labels) -> Column:
+    """Whether both a booking and a movement exist, or one of them is missing."""
+    one_side_missing = F.expr("(booking_usd IS NULL) <> (arr_usd IS NULL)")
+    return F.when(one_side_missing, labels.need_to_label).otherwise(labels.both_present)
+
+
 def spine_variance(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
     """Customers with bookings, earlier bookings and ledger movement side by side."""
     rules, labels = config.bookings, config.labels
@@ -48,7 +54,6 @@ def spine_variance(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
     booked_before = prior_booking_measures(
         inputs.booking_history_prev1, inputs.booking_history_prev2, rules
     )
-    one_side_missing = F.expr("(booking_usd IS NULL) <> (arr_usd IS NULL)")
     return with_variance(
         inputs.booking_customers,
         rollup(booked + booked_before),
@@ -60,9 +65,7 @@ def spine_variance(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
             "booking_lcu": F.expr("coalesce(booking_lcu, 0D)"),
             "prev1_usd": F.expr("coalesce(prev1_usd, 0D)"),
             "prev2_usd": F.expr("coalesce(prev2_usd, 0D)"),
-            "presence": F.when(one_side_missing, labels.need_to_label).otherwise(
-                labels.both_present
-            ),
+            "presence": presence(labels),
         }
     )
 

@@ -14,6 +14,7 @@ from ledgermend.operators.merge import (
 )
 from ledgermend.operators.rollups import booking_ids, loss_ids
 from ledgermend.plans.bookings import labelled_bookings
+from ledgermend.plans.combined import combined_branches
 from ledgermend.plans.losses import labelled_losses
 from ledgermend.sources.contracts import ReconInputs
 
@@ -36,10 +37,7 @@ def audited_branches(inputs: ReconInputs, config: ReconConfig) -> DataFrame:
 
     Repeated rows vanish here, so the losses need not carry every month.
     """
-    merged = merge_branches(
-        labelled_bookings(inputs, config), labelled_losses(inputs, config, every_month=False)
-    )
-    return attach_lists(merged, opportunity_ids(inputs, config), inputs.audit_refs)
+    return attach_lists(combined_branches(inputs, config), opportunity_ids(inputs, config), inputs.audit_refs)
 
 
 def reconcile(inputs: ReconInputs, config: ReconConfig | None = None) -> DataFrame:

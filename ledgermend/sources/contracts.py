@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -120,14 +120,24 @@ def _matches(df: DataFrame, table: str) -> Iterator[tuple[Field, Column, T.DataT
         yield field, F.col("`" + found[0].name.replace("`", "``") + "`"), found[0].dataType
 
 
-def conform(df: DataFrame, table: str, strict: bool = True) -> DataFrame:
+def conform(df: DataFrame, table: str, strict: bool = True, observation: Observation | None = None) -> DataFrame:
     """The columns of ``table``'s contract, renamed and typed, nothing else.
 
     A column is found under its neutral name or its export header, in any
     case. A text that is no number, month or date where one is expected ends the
     run when a query needs it; without ``strict`` it counts as NULL, and
     ``rejects`` lists such texts.
+
+    An ``observation`` gets the number of such texts by column from the run that reads the table, without a second pass, and
+    ``rows``, the rows it saw. Filters stay above what is observed, so that run reads all rows of the columns it needs.
     """
+    if observation is not None:
+        unread = {
+            field.name: F.count(F.when(column.isNotNull() & readable.isNull(), 1))
+            for field, column, stored in _matches(df, table)
+            if (readable := _readable(column, field, stored)) is not None
+        }
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"), *(count.alias(name) for name, count in unread.items()))
     columns = []
     for field, column, stored in _matches(df, table):
         value = _as_kind(column, field, stored)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ledgermend.sources.contracts import CONTRACTS, ROLE_CONTRACTS, ReconInputs, conform, rejects
 
@@ -24,12 +25,19 @@ def _frames(spark: SparkSession, locations: Mapping[str, str]) -> dict[str, Data
     return {role: stored[locations[role]] for role in ROLE_CONTRACTS}
 
 
-def read_inputs(spark: SparkSession, locations: Mapping[str, str], strict: bool = True) -> ReconInputs:
+def read_inputs(
+    spark: SparkSession, locations: Mapping[str, str], strict: bool = True, observed: dict[str, Observation] | None = None
+) -> ReconInputs:
     """Conforming inputs; ``locations`` names a table or path for every role.
 
     Roles that name the same location share one DataFrame if their contracts allow it. An unreadable number or date ends the run that needs it, or
     without ``strict`` counts as NULL (see ``conform``).
+
+    Without ``strict``, ``observed`` is filled with an observation for each role that has a DataFrame of its own. After a run that uses the inputs,
+    ``observed[role].get`` has the rows it read and the unreadable texts by column.
     """
+    if strict and observed is not None:
+        raise ValueError("a strict run has no unreadable texts to observe")
     frames = _frames(spark, locations)
     conforming: dict[tuple[str, str], DataFrame] = {}
     inputs = {}
@@ -39,7 +47,8 @@ def read_inputs(spark: SparkSession, locations: Mapping[str, str], strict: bool
         shared = [made for made in conforming if made[0] == locations[role] and fields <= set(CONTRACTS[made[1]])]
         source = shared[0] if shared else (locations[role], contract)
         if not shared:
-            conforming[source] = conform(frames[role], contract, strict)
+            seen = None if observed is None else observed.setdefault(role, Observation(f"{role}-{uuid.uuid4().hex}"))
+            conforming[source] = conform(frames[role], contract, strict, seen)
         inputs[role] = conforming[source]
     return ReconInputs(**inputs)
 

@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 from ledgermend.checks.oracle import ORACLE_SQL
-from ledgermend.checks.registry import QUERIES
+from ledgermend.checks.registry import QUERIES, STORED
 
 SCALE = os.environ.get("ORACLE_SF", "sf0.01")
 
@@ -43,9 +43,9 @@ def test_every_query_has_a_counterpart():
     assert set(ORACLE_SQL) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", [*QUERIES, *STORED])
 def test_matches_sql(name, spark, duck, data_root):
-    frame = QUERIES[name](spark, str(data_root / SCALE))
+    frame = {**QUERIES, **STORED}[name](spark, str(data_root / SCALE))
     expected = duck.execute(ORACLE_SQL[name])
     columns = [column[0] for column in expected.description]
     wanted = expected.fetchall()

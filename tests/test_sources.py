@@ -1,0 +1,151 @@
+"""Observed reads, mapping tables, calendars, mixed folders, and the report by period."""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgermend import Period, read_inputs, read_periods, read_rejects, reconcile, write_period
+from ledgermend.checks.roles import CONFIG, Tables, inputs, movement_ledger
+from ledgermend.operators import drivers as driver_module
+from ledgermend.operators.rollups import ledger_rollup, ledger_rollup_by_table
+from ledgermend.sources.calendar import calendar, within_period
+from ledgermend.sources.contracts import ROLE_CONTRACTS
+from ledgermend.sources.mixed import read_mixed, schema_groups
+from ledgermend.sources.periods_sink import RowCountError
+
+
+def rows(frame):
+    return sorted(map(str, frame.collect()))
+
+
+# ---- counts of unreadable texts within the run
+
+
+def test_unreadable_texts_are_counted_by_the_run_itself(spark, tmp_path):
+    made = inputs(Tables(spark, "/root/testdata/sf0.001"))
+    locations = {}
+    for role in ROLE_CONTRACTS:
+        frame = getattr(made, role)
+        if role in ("booking_lines", "booking_history_prev1"):
+            frame = frame.withColumn("recurring_revenue", F.expr("IF(hash(customer_id, close_date) % 5 = 0, 'n/a', CAST(recurring_revenue AS STRING))"))
+        if role == "loss_ledger":
+            frame = frame.withColumn("arr_usd", F.expr("IF(month(snapshot_date) = 3, '?', CAST(arr_usd AS STRING))"))
+        locations[role] = str(tmp_path / role)
+        frame.write.parquet(locations[role])
+    observed: dict = {}
+    report = reconcile(read_inputs(spark, locations, strict=False, observed=observed), CONFIG)
+    assert report.count() > 0
+    want: dict = {}
+    for row in read_rejects(spark, locations).collect():
+        want[row.role, row.column] = want.get((row.role, row.column), 0) + row["count"]
+    assert {role for role, _ in want} == {"booking_lines", "booking_history_prev1", "loss_ledger"}
+    for role, column in want:
+        found = observed[role].get
+        assert found[column] == want[role, column] and found["rows"] == spark.read.parquet(locations[role]).count()
+    with pytest.raises(ValueError, match="strict"):
+        read_inputs(spark, locations, observed={})
+
+
+# ---- drivers from a mapping table
+
+
+@pytest.fixture
+def mapping(spark):
+    pairs = [(category, name) for name, categories in CONFIG.losses.drivers.items() for category in categories]
+    return spark.createDataFrame([*pairs, (None, "ignored")], "category string, driver string")
+
+
+@pytest.mark.parametrize("most", [100_000, 0])
+def test_mapping_table_equals_the_chain(spark, data_root, mapping, monkeypatch, most):
+    """Broadcast, and joined by a shuffle."""
+    monkeypatch.setattr(driver_module, "BROADCAST_CATEGORIES", most)
+    for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(name, "-1")
+    try:
+        ledger = movement_ledger(Tables(spark, str(data_root / "sf0.001")))
+        found = ledger_rollup_by_table(ledger, CONFIG, mapping, CONFIG.losses.monthly)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin [bridge_account" in plan) == (most > 0)
+        want = ledger_rollup(ledger, CONFIG, CONFIG.losses.drivers, CONFIG.losses.monthly)
+        assert rows(found.select(want.columns)) == rows(want)
+    finally:
+        for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("extra", [("RF", "reversal"), ("XX", None)])
+def test_unclear_mappings_are_refused(spark, data_root, mapping, extra):
+    wrong = mapping.union(spark.createDataFrame([extra], mapping.schema))
+    with pytest.raises(ValueError, match=extra[0]):
+        ledger_rollup_by_table(movement_ledger(Tables(spark, str(data_root / "sf0.001"))), CONFIG, wrong)
+
+
+# ---- months of any year, pruned by a calendar
+
+
+def test_months_prune_partitions_at_run_time(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    days = spark.range(900).select(F.date_add(F.lit(date(2022, 1, 1)), F.col("id").cast("int")).alias("day"), "id")
+    days.withColumn("week", F.date_trunc("week", "day").cast("date")).write.partitionBy("day").parquet(path)
+    table = spark.read.parquet(path)
+    period = Period(months=(10, 11, 12))
+    found = within_period(table, "day", period, calendar(spark, date(2020, 1, 1), date(2026, 12, 31)))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    assert rows(found) == rows(table.where("month(day) IN (10, 11, 12)")) != []
+    both = Period(date(2022, 11, 5), date(2023, 10, 2), (10, 11))
+    found = within_period(table, "day", both, calendar(spark, date(2020, 1, 1), date(2026, 12, 31)))
+    assert rows(found) == rows(table.where("month(day) IN (10, 11) AND day BETWEEN DATE'2022-11-05' AND DATE'2023-10-02'"))
+
+
+# ---- folders with several schemas
+
+
+def test_mixed_folder(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    columns = "customer_id, row_type, bridge_account"
+    texts = spark.sql(f"SELECT 'a' customer_id, 'line' row_type, 'RF' bridge_account, '-1,000.5' arr_usd, '7' arr_lcu, '2024-11-02' snapshot_date")
+    numbers = spark.sql("SELECT 'b' customer_id, 'line' row_type, 'RF' bridge_account, -2D arr_usd, 8D arr_lcu, DATE'2024-11-03' snapshot_date, 5 extra")
+    headed = spark.sql("SELECT 'c' master_customer_id, 'line' `Type`, 'RF' Bridge_Account, 3 arr_usd_ccfx, 9F baseline_arr_local_currency, TIMESTAMP'2024-11-04 10:00:00' snapshot_date")
+    for name, frame in (("y=1", texts), ("y=2", numbers), ("y=3", headed), ("y=4", numbers)):
+        frame.write.parquet(f"{path}/{name}")
+    assert columns and sorted(map(len, schema_groups(spark, path, "movement_ledger"))) == [1, 1, 2]
+    found = sorted((r.customer_id, r.arr_usd, r.arr_lcu, str(r.day)) for r in read_mixed(spark, path, "movement_ledger").withColumn("day", F.col("snapshot_date").cast("date")).collect())
+    assert found == [("a", -1000.5, 7.0, "2024-11-02"), ("b", -2.0, 8.0, "2024-11-03"), ("b", -2.0, 8.0, "2024-11-03"), ("c", 3.0, 9.0, "2024-11-04")]
+    with pytest.raises(ValueError, match="no Parquet"):
+        (tmp_path / "empty").mkdir()
+        read_mixed(spark, str(tmp_path / "empty"), "movement_ledger")
+
+
+# ---- the report by period
+
+
+def test_a_rerun_replaces_its_period_only(spark, tmp_path):
+    path = str(tmp_path / "report")
+
+    def report(*names):
+        return spark.createDataFrame([(n, 1.0, datetime(2024, 1, 1)) for n in names], "MCID string, ` ARR ` double, t timestamp")
+
+    assert write_period(report("a", "b"), path, "2024Q3") == 2
+    assert write_period(report("c", "d", "e"), path, "2024") == 3
+    before = rows(read_periods(spark, path, "2024Q3"))
+    assert write_period(report("f", "g", "h"), path, "2024", most_change=0.5) == 3
+    assert [r.MCID for r in read_periods(spark, path, "2024").orderBy("MCID").collect()] == ["f", "g", "h"]
+    assert rows(read_periods(spark, path, "2024Q3")) == before and read_periods(spark, path).count() == 5
+    assert read_periods(spark, path).columns == ["MCID", "ARR", "t", "period"]
+
+
+def test_wrong_counts_leave_the_table(spark, tmp_path):
+    path = str(tmp_path / "report")
+    frame = spark.range(10).selectExpr("string(id) AS MCID")
+    write_period(frame, path, "p", most_change=0.1)
+    for wrong, limits in ((frame.limit(0), {}), (frame.limit(8), {"most_change": 0.1}), (frame, {"least": 11})):
+        with pytest.raises(RowCountError):
+            write_period(wrong, path, "p", **limits)
+    assert read_periods(spark, path, "p").count() == 10
+    with pytest.raises(Exception, match="boom"):
+        write_period(frame.selectExpr("raise_error('boom') AS MCID"), path, "p")
+    assert read_periods(spark, path, "p").count() == 10
