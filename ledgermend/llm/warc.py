@@ -105,7 +105,8 @@ def write_archives(
         "again",
     )
     order = ["page_id", "sha1", "url"]
-    sorted_records = records.join(again, "sha1", "left").repartitionByRange(*order).sortWithinPartitions(*order)
+    # Equal payloads of one page_id stay in one task, which makes the first of them the response.
+    sorted_records = records.join(again, "sha1", "left").repartitionByRange("page_id", "sha1").sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, roll, before = TaskContext.get().partitionId(), 0, None

@@ -94,3 +94,19 @@ def test_small_payloads_and_no_rows(spark, pages):
     empty = new_path(spark, "warc-test")
     write_archives(pages.where("false"), empty)
     assert read_archives(spark, empty).collect() == []
+
+
+def test_repeated_rows_over_several_partitions(spark):
+    """One page_id and payload in many rows with different URLs has one response."""
+    rows = [(7, f"http://x/{k}", "<p>same</p>") for k in range(400)] + [(k % 5, f"http://y/{k}", "<p>same</p>") for k in range(50)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(8)
+    uri = new_path(spark, "warc-test")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write_archives(frame, uri)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    got = read_archives(spark, uri).collect()
+    assert len(got) == 450 and [r.page_id for r in got if r.record_type == "response"] == [7]
+    assert all(r.refers_to == 7 for r in got if r.record_type == "revisit")
