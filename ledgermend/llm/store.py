@@ -7,19 +7,27 @@ import shutil
 import tempfile
 import uuid
 from pathlib import Path
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
+ARROW_ROWS = 1000
+"""Rows of a batch that goes to a Python worker, unless the session says otherwise: texts are long, and workers few."""
+
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _PACKAGE = Path(__file__).resolve().parents[1]
 _shipped: set[str] = set()
+_places: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def ship(spark: SparkSession) -> None:
     """Sends this package to Python workers that would not find it, once per application.
 
     Workers find what lies in the driver's working folder (local mode) or on PYTHONPATH, and what was
-    submitted with --py-files.
+    submitted with --py-files. Batches are cut to ARROW_ROWS where the session has Spark's default.
     """
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(ARROW_ROWS))
     application = spark.sparkContext.applicationId
     found = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
     if application in _shipped or any(folder and Path(folder).resolve() == _PACKAGE.parent for folder in found):
@@ -54,7 +62,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     ship(df.sparkSession)
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _places[out] = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables made by `written` that no result needs any more; others are left alone."""
+    for table_ in tables:
+        path = _places.pop(table_, None)
+        if path:
+            spark = table_.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

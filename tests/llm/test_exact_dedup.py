@@ -63,3 +63,21 @@ def test_no_python_in_the_plan(spark, odd):
     found = deduplicate(odd, DigestIndex(spark, new_path(spark, "index-test")))
     plan = found._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_repeated_batch_changes_nothing(spark, odd):
+    """A driver that fails after the append and runs again gets the same rows and leaves the same index."""
+    index = DigestIndex(spark, new_path(spark, "index-test"), buckets=4)
+    known = spark.createDataFrame([(900, "one"), (901, "not in the batch")], "doc_id long, text string")
+    deduplicate(known, index, "before").collect()
+    results, states = [], []
+    for _ in range(3):
+        results.append(sorted(map(str, deduplicate(odd, index).collect())))
+        states.append(sorted(map(str, index.open().collect())))
+    assert results[0] == results[1] == results[2] and states[0] == states[1] == states[2]
+    assert sum("kept=True" in row for row in results[0]) == len(states[0]) - 2
+    one = [r for r in deduplicate(odd, index).collect() if r.doc_id == 8]
+    assert [(r.keep_id, r.kept) for r in one] == [(900, False)]
+    named = sorted(map(str, deduplicate(odd, index, "again's").collect()))
+    assert not any("kept=True" in row for row in named)  # another batch, whose texts are all known
+    index.close()
