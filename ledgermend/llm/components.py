@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermend.llm.store import written
+from ledgermend.llm.store import forget, written
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): each node of the edges (x, y) with the smallest node that it reaches.
 
     Every round takes the smallest label among neighbours, then the label of that label, so a
-    path of length n needs about log n rounds. Each round's labels are a written table.
+    path of length n needs about log n rounds. Each round's labels are a written table, which replaces the one before.
     """
     both = written(
         edges.select(F.col("x").alias("node"), F.col("y").alias("other"))
@@ -26,6 +26,7 @@ def components(edges: DataFrame) -> DataFrame:
         both.groupBy("node").agg(F.min("other").alias("low")).select("node", F.least("node", "low").alias("component")),
         "labels",
     )
+    kept = labels
     while True:
         offers = both.join(labels.select(F.col("node").alias("other"), "component"), "other").select("node", "component")
         lowest = labels.union(offers).groupBy("node").agg(F.min("component").alias("component"))
@@ -36,6 +37,8 @@ def components(edges: DataFrame) -> DataFrame:
             .select("node", F.least("component", F.coalesce("next", "component")).alias("component"), "was")
         )
         jumped = written(jumped, "labels")
-        labels = jumped.select("node", "component")
+        forget(kept)
+        kept, labels = jumped, jumped.select("node", "component")
         if jumped.where("component <> was").isEmpty():
+            forget(both)
             return labels

@@ -10,10 +10,12 @@ documents of its own prefix shingles:
 2. In each prefix shingle's group the smallest document is the probe of all others. A document
    follows the probe that it meets in most of its prefix, a third at least; documents joined by that are a
    cluster, however many copies of one text there are. This takes work in proportion to the rows.
-3. The sets of a cluster go to one task, or in blocks of bounded size to one task for each pair of blocks.
-   They are stored in a trie over the ordered shingles, and each set of the other block walks it: a walk
-   counts overlaps once for all sets that share a path, and leaves a branch when the shingles that remain
-   on either side cannot reach the similarity. Only links that join components are returned.
+3. Each follower is compared with its probe: the sets of a probe's followers are stored in tries over the ordered
+   shingles, and the probe walks them: a walk counts overlaps once for all sets that share a path, and leaves a
+   branch when the shingles that remain on either side cannot reach the similarity. What links is contracted, one row a
+   document. Only clusters that this leaves in several parts go on: documents beside the largest part
+   go in blocks of bounded size to one task for each pair of blocks, and the largest part to one task for each
+   block, where sets meet through tries again. Only links that join components are returned.
 4. Groups whose documents are in different clusters and components meet pair by pair where the lengths and
    the places of the shingle allow; a shingle that many texts have stands late in their orders and
    allows few. A pair's common prefix shingles are counted, and it is compared, again through tries, if
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ledgermend.llm.components import components
 from ledgermend.llm.shingling import mix, parts_of, shingle_hashes, shingle_sets
-from ledgermend.llm.store import written
+from ledgermend.llm.store import forget, written
 
 SLOTS = 1 << 17
 """Counters of the frequency table; it is all that the driver sees of the shingles."""
@@ -205,8 +207,8 @@ def _blocks() -> Column:
     return F.greatest(F.floor(F.sum("n") / BLOCK_SHINGLES), F.floor(F.count("*") / BLOCK_SETS)) + 1
 
 
-def clusters(met: DataFrame, percent: int) -> DataFrame:
-    """(doc_id, cluster, block, blocks) of the documents that share much of their prefix with a probe.
+def followers(met: DataFrame, percent: int) -> DataFrame:
+    """(x, y, nx, ny): each document y that shares much of its prefix with a probe, and the probe x that it shares most with.
 
     met has a row for each document of each prefix shingle's group: key, doc_id, n, at and probe.
     """
@@ -217,19 +219,38 @@ def clusters(met: DataFrame, percent: int) -> DataFrame:
         .agg(F.count("*").alias("common"))
         .where(F.col("common") * 3 * 100 >= F.col("ny") * (100 - percent))
     )
-    strong = written(strong, "strong")
-    follows = strong.groupBy("y").agg(F.max(F.struct("common", (-F.col("x")).alias("low"))).alias("best")).select((-F.col("best.low")).alias("x"), "y")
-    sizes = strong.select(F.col("x").alias("doc_id"), F.col("nx").alias("n")).union(strong.select("y", "ny")).groupBy("doc_id").agg(F.max("n").alias("n"))
-    placed = components(follows).join(sizes.withColumnRenamed("doc_id", "node"), "node")
-    volume = placed.groupBy("component").agg(_blocks().alias("blocks"))
-    return placed.join(volume, "component").select(
-        F.col("node").alias("doc_id"), F.col("component").alias("cluster"), F.pmod(F.xxhash64("node"), "blocks").alias("block"), "blocks"
-    )
+    best = F.max(F.struct("common", (-F.col("x")).alias("low"), "nx", "ny")).alias("best")
+    return written(strong.groupBy("y").agg(best).select((-F.col("best.low")).alias("x"), "y", "best.nx", "best.ny"), "followers")
+
+
+def clusters(follows: DataFrame) -> DataFrame:
+    """(doc_id, cluster, n) of the documents that follow a probe or are followed."""
+    sizes = follows.select(F.col("x").alias("doc_id"), F.col("nx").alias("n")).union(follows.select("y", "ny")).groupBy("doc_id").agg(F.max("n").alias("n"))
+    placed = components(follows.select("x", "y")).join(sizes.withColumnRenamed("doc_id", "node"), "node")
+    return placed.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "n")
+
+
+def left_over(grouped: DataFrame, parts: DataFrame) -> DataFrame:
+    """(doc_id, cluster, block, blocks) of the clusters that their probes' links leave in several parts.
+
+    The largest part of a cluster is its block number `blocks`; all other documents are dealt to blocks 0 to blocks - 1.
+    """
+    named = grouped.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("part", F.coalesce("component", "doc_id"))
+    sizes = named.groupBy("cluster", "part").agg(F.count("*").alias("docs"))
+    main = sizes.groupBy("cluster").agg(F.max(F.struct("docs", (-F.col("part")).alias("low"))).alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    told = named.join(main.select("cluster", (-F.col("main.low")).alias("main")), "cluster").withColumn("beside", F.col("part") != F.col("main"))
+    volume = told.where("beside").groupBy("cluster").agg(_blocks().alias("blocks"))
+    block = F.when(F.col("beside"), F.pmod(F.xxhash64("doc_id"), "blocks")).otherwise(F.col("blocks"))
+    return told.join(volume, "cluster").select("doc_id", "cluster", block.alias("block"), "blocks")
 
 
 def joined_in_clusters(members: DataFrame, percent: int) -> DataFrame:
-    """Links (x, y) that join the sets of each cluster into components; members: sets with clusters' columns."""
-    meets = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+    """Links (x, y) that join the sets of each cluster into components; members: sets with the columns of left_over.
+
+    Each two blocks meet, and each block itself, but for the last one, whose documents are one part already.
+    """
+    last = F.when(F.col("block") == F.col("blocks"), F.col("blocks") - 1).otherwise(F.col("blocks"))
+    meets = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last))).select(
         "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "doc_id", "keys"
     )
 
@@ -354,10 +375,14 @@ def jaccard_components(documents: DataFrame, width: int, percent: int) -> DataFr
         posting.join(groups, "key").select("key", "doc_id", "n", "at", "rows", (F.col("doc_id") == F.col("low")).alias("probe")),
         "groups",
     )
-    grouped = written(clusters(met, percent), "clusters")
-    members = written(sets_of(_texts_of(texts, grouped), width, classes), "members")
-    links = written(joined_in_clusters(members, percent), "links")
-    parts = components(links)
+    follows = followers(met, percent)
+    grouped = written(clusters(follows), "clusters")
+    members = written(sets_of(_texts_of(texts, grouped.select("doc_id")), width, classes), "members")
+    links = written(verified(follows.select("x", "y"), members, percent), "links")
+    rest = left_over(grouped, components(links))
+    inner = written(joined_in_clusters(members.join(rest, "doc_id"), percent), "links")
+    forget(follows, members)
+    parts = components(links.union(inner))
 
     placed = written(
         met.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").join(grouped.select("doc_id", "cluster"), "doc_id", "left")
@@ -365,10 +390,10 @@ def jaccard_components(documents: DataFrame, width: int, percent: int) -> DataFr
         "placed",
     )
     open_keys = placed.groupBy("key").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high")).where("low <> high").select("key")
-    rest = placed.join(open_keys, "key", "left_semi")
+    open_rows = placed.join(open_keys, "key", "left_semi")
     different = (F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.part") != F.col("b.part")) & (F.col("a.cluster") != F.col("b.cluster"))
     met_twice = written(
-        rest.alias("a").join(rest.alias("b"), "key")
+        open_rows.alias("a").join(open_rows.alias("b"), "key")
         .where(different & _alike_in_length(percent, "a", "b") & reaches(_most("a", "b"), F.col("a.n"), F.col("b.n"), percent))
         .select(F.col("a.doc_id").alias("x"), F.col("b.doc_id").alias("y"), F.col("a.n").alias("n"), F.col("b.n").alias("m")).distinct(),
         "pairs",
@@ -387,7 +412,10 @@ def jaccard_components(documents: DataFrame, width: int, percent: int) -> DataFr
     if not more.isEmpty():
         wanted = more.select(F.col("x").alias("doc_id")).union(more.select("y")).distinct()
         sets = written(sets_of(_texts_of(texts, written(wanted, "wanted")), width, classes), "sets")
-        parts = components(links.union(written(verified(more, sets, percent), "links")))
+        outer = written(verified(more, sets, percent), "links")
+        parts = components(links.union(inner).union(outer))
+        forget(sets, outer)
+    forget(met, grouped, links, inner, placed, met_twice, more)
 
     of_class = same.join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "n", "h1", "h2", F.coalesce("component", "rep").alias("component_id")

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-WINDOW = 1 << 20
+WINDOW = 1 << 16
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -59,7 +59,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
-def parts_of(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+def parts_of(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in slices whose texts have about `most` bytes, or of one text."""
     for batch in batches:
         for start, end in _ranges(batch[text], most):
@@ -75,7 +75,7 @@ def release() -> None:
         trim(0)
 
 
-def parts_of_column(column: pa.Array, most: int = 1 << 22) -> Iterator[pa.Array]:
+def parts_of_column(column: pa.Array, most: int = 1 << 20) -> Iterator[pa.Array]:
     """The texts of a column in slices of about `most` bytes, or of one text."""
     for start, end in _ranges(column, most):
         yield column.slice(start, end - start)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 import numpy as np
@@ -7,7 +8,9 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from ledgermend.llm import jaccard_join
 from ledgermend.llm.jaccard_join import Trie, jaccard_components, prefix_length, reaches
 from ledgermend.llm.shingling import shingle_hashes, shingle_sets, word_hashes
 
@@ -109,3 +112,44 @@ def test_words_longer_than_a_window(monkeypatch):
     monkeypatch.undo()
     plain, plain_at = word_hashes(pa.array(texts))
     assert hashes.tolist() == plain.tolist() and at.tolist() == plain_at.tolist()
+
+
+def _near(seed: int, n: int, words: int, changed: int) -> list[str]:
+    chooser = random.Random(seed)
+    base = [f"b{seed}w{k}" for k in range(words)]
+    out = []
+    for k in range(n):
+        own = list(base)
+        for place in chooser.sample(range(words), changed):
+            own[place] = f"x{seed}y{k}z{place}"
+        out.append(" ".join(own))
+    return out
+
+
+def test_rows_sent_for_a_large_cluster(spark, monkeypatch):
+    """2,400 near copies are compared with their probe, and none of them meets the others in blocks."""
+    sent = []
+    plain = jaccard_join.joined_in_clusters
+
+    def counted(members, percent):
+        sent.append(members.agg(F.sum(F.col("blocks") + 1)).first()[0] or 0)
+        return plain(members, percent)
+
+    monkeypatch.setattr(jaccard_join, "joined_in_clusters", counted)
+    rows = list(enumerate([" ".join(f"b5w{k}" for k in range(120))] + _near(5, 2399, 120, 1)))
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 3, 90).collect()
+    assert {r.component_id for r in got} == {0} and len(got) == 2400
+    assert sent == [0]
+
+
+def test_a_cluster_above_a_block_in_several_parts(spark, monkeypatch):
+    """Copies too unlike for their probe meet in blocks, with each other and with the largest part."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 16)
+    texts = _near(1, 40, 100, 1) + _near(1, 60, 100, 5)
+    far = texts[70].split(" ")
+    texts += [" ".join([*far[:50], f"link{k}", *far[51:]]) for k in range(25)]  # near one of the unlike copies
+    rows = list(enumerate(texts))
+    random.Random(2).shuffle(rows)
+    got = {r.doc_id: r.component_id for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 3, 90).collect()}
+    assert got == brute_components(rows, 3, 90)
+    assert 3 < len(set(got.values())) < 100
