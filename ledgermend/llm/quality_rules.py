@@ -3,11 +3,14 @@
 A sketch counts each different text of a language and source once, so copies move no limit. A fence starts from the
 median and takes its spread from the half of the texts on the other side, which outliers beyond the fence do not
 reach while they are fewer than half: with a third of them, the fence stays within what the other texts have.
+What a fence allows besides, where spreads are small, comes from sketches too: from the tails on the other side, as
+the median of a second sketch in which each group counts once, so that no group sets it, and from how much
+one more thing counts in a text of the group's median size. No limit is a number of this module.
 
 The sketch of a rate is a histogram over whole numbers with 32 buckets to each power of two (exact below
 64, within 3 % above). Histograms merge by adding counts, so they are built with map-side partial sums
 however large a group is, are the same in any order, and the sketches of all sources of a language add up
-to the language's. A group of any size has limits: its sketch is merged with `PRIOR_ROWS` texts spread
+to the language's. A group of any size has limits: its sketch is blended with `PRIOR_ROWS` texts spread
 evenly over the sketch of its language, and that with as many from the whole corpus, so limits move
 smoothly as a group grows. The limits are joined back and filter the rows.
 """
@@ -28,33 +31,43 @@ from ledgermend.llm.text_stats import STATS, text_stats
 MIN_WORDS = 50
 """Base rule: shorter documents fail, and so do those with more than half of their words repeated."""
 
-MIN_ROWS = 200
-"""Fewest rows of a group with limits in the query's SQL; not used here."""
-
 PRIOR_ROWS = 50
 """How many texts the sketch of the next coarser group counts as in a group's own."""
 
-SPREADS = 3
-"""A fence lies so many interquartile distances outside the quartile, for rates whose halves mirror each other."""
-HALF_SPREADS = 2 * SPREADS + 1
-"""The same distance from the median, in distances between the median and the other half's quartile."""
+HALF_SPREADS = 7
+"""A fence lies so many distances between the median and the other half's quartile from the median."""
+
+TAILS = 8
+"""It lies beyond that by so many distances between median and the other tail's tenth, as most groups have them, at least .."""
+
+THINGS, SIZE_SHARE = 5, 4
+""".. or by so many things in a text of the group's median size; for a size, by the SIZE_SHARE-th part of its median."""
 
-#: Rates: factor, counted, out of; and what the upper fence allows besides the spread.
+#: Rates: factor, counted, out of.
 RATES = {
-    "symbols": (1000, "n_symbols", "word_chars", 50),
-    "capitals": (1000, "n_upper", "word_chars", 100),
-    "dup_lines": (1000, "n_dup_lines", "n_lines", 400),
-    "twice": (1000, "n_twice", "n_words", 100),
-    "word_length": (10, "word_chars", "n_words", 20),
+    "symbols": (1000, "n_symbols", "word_chars"),
+    "capitals": (1000, "n_upper", "word_chars"),
+    "dup_lines": (1000, "n_dup_lines", "n_lines"),
+    "twice": (1000, "n_twice", "n_words"),
+    "word_length": (10, "word_chars", "n_words"),
 }
-LOW_RATES = {"word_length": 20}
-"""Rates that are also fenced from below, and what that fence allows besides the spread."""
+SIZES = ("word_length",)
+"""Rates that measure a size; they are fenced from below too."""
+
+TOTALS = ("word_chars", "n_lines", "n_words")
+"""Text sizes, which are sketched beside the rates."""
+
+QUANTILES = {"q10": (1, 10), "q1": (1, 4), "q2": (1, 2), "q3": (3, 4), "q90": (9, 10)}
 
-LIMITS = [f"{name}_max" for name in RATES] + [f"{name}_min" for name in LOW_RATES]
+LIMITS = [f"{name}_max" for name in RATES] + [f"{name}_min" for name in SIZES]
 
 
 def stats_of(text: Column) -> Column:
-    """A struct of the counts of text_stats and a digest of the text; null counts as empty."""
+    """A struct of the counts of text_stats and a digest of the text.
+
+    Null counts as empty: both have no words, lines or symbols. Whole texts of any length are counted; equal texts have equal
+    counts and digests.
+    """
 
     @F.arrow_udf("struct<" + ",".join(f"{name}:bigint" for name in STATS) + ",digest:binary>")
     def stats(texts: pa.Array) -> pa.Array:
@@ -72,7 +85,7 @@ def stats_of(text: Column) -> Column:
 
 def rate(name: str, stats: str) -> Column:
     """A rate over a struct column of counts, as a whole number."""
-    factor, counted, total, _ = RATES[name]
+    factor, counted, total = RATES[name]
     return F.expr(f"{factor} * {stats}.{counted} div greatest({stats}.{total}, 1)")
 
 
@@ -93,8 +106,9 @@ def distinct_texts(rows: DataFrame, stats: str) -> DataFrame:
 
 
 def sketches(rows: DataFrame, stats: str) -> DataFrame:
-    """(lang, source, rate, low, rows): the histogram of each rate in each group."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(name).alias("rate"), rate(name, stats).alias("value")) for name in RATES]))
+    """(lang, source, rate, low, rows): the histogram of each rate, and of each text size as of_<size>, in each group."""
+    values = {**{name: rate(name, stats) for name in RATES}, **{f"of_{name}": F.col(f"{stats}.{name}") for name in TOTALS}}
+    pairs = F.explode(F.array(*[F.struct(F.lit(name).alias("rate"), value.alias("value")) for name, value in values.items()]))
     return (
         rows.select(group_key("lang"), group_key("source"), pairs.alias("p"))
         .select("lang", "source", "p.rate", bucket("p.value").alias("low"))
@@ -120,33 +134,61 @@ def prior(sketch: DataFrame, *keys: str) -> DataFrame:
     return placed(sketch, *keys).select(*keys, "rate", "low", F.expr(f"{upto[0]} - {upto[1]}").alias("rows")).where("rows > 0")
 
 
-def fences(sketch: DataFrame, *keys: str) -> DataFrame:
-    """(keys, <rate>_max, <rate>_min): the limits of each group."""
-    ranked = placed(sketch, *keys)
-    quarter = [F.min(F.when(F.col("upto") * 4 >= F.col("total") * k, F.col("low"))).alias(f"q{k}") for k in (1, 2, 3)]
-    quarters = ranked.groupBy(*keys, "rate").agg(*quarter)
-    above = F.col("q2") + HALF_SPREADS * (F.col("q2") - F.col("q1"))
-    below = F.col("q2") - HALF_SPREADS * (F.col("q3") - F.col("q2"))
-
-    def limit(name: str, value: Column, suffix: str) -> Column:
-        return F.max(F.when(F.col("rate") == name, value)).alias(f"{name}_{suffix}")
-
-    return quarters.groupBy(*keys).agg(
-        *[limit(name, above + slack, "max") for name, (*_, slack) in RATES.items()],
-        *[limit(name, below - slack, "min") for name, slack in LOW_RATES.items()],
+def histograms(sketch: DataFrame, *keys: str) -> DataFrame:
+    """(keys, buckets): each histogram as one array, which has at most some hundred buckets."""
+    return sketch.groupBy(*keys).agg(F.collect_list(F.struct("low", "rows")).alias("buckets"))
+
+
+def quantiles(buckets: str) -> Column:
+    """A struct of the quantiles of a histogram, in which a bucket may occur more than once."""
+    none = ", ".join(f"cast(null as bigint) AS {name}" for name in QUANTILES)
+    step = ", ".join(f"coalesce(a.{name}, CASE WHEN (a.upto + x.rows) * {d} >= a.total * {n} THEN x.low END) AS {name}" for name, (n, d) in QUANTILES.items())
+    return F.expr(
+        f"""aggregate(array_sort({buckets}), struct(0L AS upto, aggregate({buckets}, 0L, (t, x) -> t + x.rows) AS total, {none}),
+            (a, x) -> struct(a.upto + x.rows AS upto, a.total AS total, {step}))"""
     )
 
 
+def _fences(found: DataFrame, *keys: str) -> DataFrame:
+    """(keys, <rate>_max, <rate>_min): the limits of each group, from the quantiles (keys, rate, q10, ..) of all groups."""
+    sides = F.explode(F.expr("array(struct('max' AS side, q2 - q10 AS tail), struct('min' AS side, q90 - q2 AS tail))"))
+    tails = found.select("rate", sides.alias("t")).select("rate", "t.side", bucket("t.tail").alias("low"))
+    usual = histograms(tails.groupBy("rate", "side", "low").agg(F.count("*").alias("rows")), "rate", "side").select("rate", "side", quantiles("buckets").q2.alias("tail"))
+    usual = usual.groupBy("rate").agg(*[F.max(F.when(F.col("side") == side, F.col("tail"))).alias(f"tail_{side}") for side in ("max", "min")])
+    values = F.struct("q1", "q2", "q3", "tail_max", "tail_min")
+    group = found.join(usual, "rate").groupBy(*keys).agg(
+        *[F.max(F.when(F.col("rate") == name, values)).alias(name) for name in RATES],
+        *[F.max(F.when(F.col("rate") == f"of_{name}", F.col("q2"))).alias(f"of_{name}") for name in TOTALS],
+    )
+
+    def allowed(name: str, side: str) -> str:
+        factor, _, total = RATES[name]
+        least = f"{name}.q2 div {SIZE_SHARE}" if name in SIZES else f"{THINGS * factor} div greatest(of_{total}, 1)"
+        return f"greatest({TAILS} * {name}.tail_{side}, {least})"
+
+    above = [f"{n}.q2 + {HALF_SPREADS} * ({n}.q2 - {n}.q1) + {allowed(n, 'max')} AS {n}_max" for n in RATES]
+    below = [f"{n}.q2 - {HALF_SPREADS} * ({n}.q3 - {n}.q2) - {allowed(n, 'min')} AS {n}_min" for n in SIZES]
+    return group.selectExpr(*keys, *above, *below)
+
+
+def fences(sketch: DataFrame, *keys: str) -> DataFrame:
+    """(keys, <rate>_max, <rate>_min): the limits of each group from its own sketch."""
+    found = histograms(sketch, *keys, "rate").select(*keys, "rate", quantiles("buckets").alias("q"))
+    return _fences(found.select(*keys, "rate", "q.*"), *keys)
+
+
 def limits(rows: DataFrame, stats: str) -> DataFrame:
     """(lang, source, limits) for every group."""
     by_source = written(sketches(rows, stats), "sketches")
     by_lang = merged(by_source, "lang")
     overall = prior(merged(by_lang.withColumn("all", F.lit(1)), "all"), "all").drop("all")  # PRIOR_ROWS rows a rate at most
     of_lang = by_lang.select("lang").distinct().join(F.broadcast(overall))
-    of_lang = prior(merged(by_lang.unionByName(of_lang), "lang"), "lang")
-    of_source = by_source.select("lang", "source").distinct().join(of_lang, "lang")
-    found = fences(merged(by_source.unionByName(of_source), "lang", "source"), "lang", "source")
-    return found.select("lang", "source", F.struct(*LIMITS).alias("limits"))
+    of_lang = histograms(prior(merged(by_lang.unionByName(of_lang), "lang"), "lang"), "lang", "rate").withColumnRenamed("buckets", "before")
+    # One row for each rate of a group, whose own buckets and those of its language lie in one array.
+    blended = histograms(by_source, "lang", "source", "rate").join(of_lang, ["lang", "rate"])
+    found = blended.select("lang", "source", "rate", F.concat("buckets", "before").alias("buckets")).select("lang", "source", "rate", quantiles("buckets").alias("q"))
+    found = written(found.select("lang", "source", "rate", "q.*"), "quantiles")
+    return _fences(found, "lang", "source").select("lang", "source", F.struct(*LIMITS).alias("limits"))
 
 
 def base_failed(stats: str) -> Column:
@@ -159,7 +201,7 @@ def within(stats: str, found: str) -> Column:
     ok = F.lit(True)
     for name in RATES:
         ok = ok & (rate(name, stats) <= F.col(f"{found}.{name}_max"))
-    for name in LOW_RATES:
+    for name in SIZES:
         ok = ok & (rate(name, stats) >= F.col(f"{found}.{name}_min"))
     return ok
 
