@@ -61,20 +61,23 @@ def encode(text: str | None, ranks: str, pattern: str) -> np.ndarray:
     return np.concatenate(parts)
 
 
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, np.concatenate([*rows, np.zeros(0, np.int32)]))
+
+
 def encoded(text: Column, ranks: str, pattern: str) -> Column:
-    """A column of each text's ids; null counts as empty."""
+    """A column of each text's ids; null counts as empty, which has none. Texts of any length are whole; equal texts have equal ids."""
 
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
-        rows = [encode(t.as_py(), ranks, pattern).astype(np.int32) for t in texts]
-        offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
-        return pa.ListArray.from_arrays(offsets, np.concatenate([*rows, np.zeros(0, np.int32)]))
+        return _lists([encode(t.as_py(), ranks, pattern).astype(np.int32) for t in texts])
 
     return ids(F.coalesce(text.cast("string"), F.lit("")))
 
 
 def decoded(ids: Column, ranks: str, pattern: str) -> Column:
-    """A column of the raw bytes of each row of ids; null counts as no ids."""
+    """A column of the raw bytes of each row of ids; null counts as no ids. An id outside the vocabulary is an error."""
 
     @F.arrow_udf("binary")
     def raw(rows: pa.Array) -> pa.Array:
@@ -82,3 +85,16 @@ def decoded(ids: Column, ranks: str, pattern: str) -> Column:
         return pa.array([bpe.decode_bytes(row.values.to_numpy().tolist() if row.is_valid else []) for row in rows], pa.binary())
 
     return raw(ids)
+
+
+def round_trip(text: Column, ranks: str, pattern: str) -> Column:
+    """A struct of each text's ids and of the raw bytes that they decode to, with each text encoded once; null counts as empty."""
+
+    @F.arrow_udf("struct<ids:array<int>,bytes:binary>")
+    def both(texts: pa.Array) -> pa.Array:
+        bpe = encoding(ranks, pattern)
+        rows = [encode(t.as_py(), ranks, pattern) for t in texts]
+        raw = pa.array([bpe.decode_bytes(row.tolist()) for row in rows], pa.binary())
+        return pa.StructArray.from_arrays([_lists([row.astype(np.int32) for row in rows]), raw], names=["ids", "bytes"])
+
+    return both(F.coalesce(text.cast("string"), F.lit("")))

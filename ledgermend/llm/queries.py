@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermend.llm.byte_bpe import decoded, encoded
+from ledgermend.llm.byte_bpe import round_trip
 from ledgermend.llm.conversation_repair import damaged, repair, transcript_hashes
 from ledgermend.llm.decontamination import contamination
 from ledgermend.llm.exact_dedup import DigestIndex, deduplicate
@@ -86,13 +86,12 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    ids = table(spark, sf_dir, "documents").select("doc_id", encoded(F.col("text"), *vocabulary).alias("ids"))
-    both = ids.select("doc_id", "ids", decoded(F.col("ids"), *vocabulary).alias("bytes"))
+    both = table(spark, sf_dir, "documents").select("doc_id", round_trip(F.col("text"), *vocabulary).alias("of"))
     return both.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("bytes", 256).alias("decoded_sha256"),
+        F.size("of.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("of.ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("of.bytes", 256).alias("decoded_sha256"),
     )
 
 
@@ -112,6 +111,7 @@ def op8_hypergeometric_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = DigestIndex(spark, new_path(spark, "digest-index"))
     found = deduplicate(table(spark, sf_dir, "documents"), index)
+    index.close()
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
