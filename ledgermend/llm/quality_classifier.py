@@ -133,7 +133,11 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "quality") -> Ne
 
 
 def quality_score(documents: DataFrame, model: NeighbourModel, text: str = "text") -> Column:
-    """A column with each whole text's score of 0 to 1; null counts as empty."""
+    """A column with each whole text's score of 0 to 1.
+
+    Null counts as empty, which is scored like any text. Equal texts have equal scores; of labelled vectors that are equally near at
+    the edge of the neighbourhood any may vote. Texts of any length are read whole; other columns play no part.
+    """
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
