@@ -25,7 +25,7 @@ BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
 WIDTH = 10
 BROADCAST_WINDOWS = 1 << 21
-"""Up to so many different windows are broadcast (some 30 bytes each); more are joined by a shuffle."""
+"""Up to so many different windows, or ids of texts with hits, are broadcast; more are joined by a shuffle."""
 
 
 def text_of(column: Column) -> Column:
@@ -66,8 +66,8 @@ def benchmark_windows(benchmark: DataFrame, width: int = WIDTH) -> tuple[DataFra
     return named.drop("items"), named.groupBy("items_id").agg(F.first("items").alias("items"))
 
 
-def _small(windows: DataFrame, count: int) -> DataFrame:
-    return F.broadcast(windows) if count <= BROADCAST_WINDOWS else windows
+def _small(rows: DataFrame, count: int) -> DataFrame:
+    return F.broadcast(rows) if count <= BROADCAST_WINDOWS else rows
 
 
 def scanned(documents: DataFrame, windows: DataFrame, count: int) -> DataFrame:
@@ -102,13 +102,20 @@ def scanned(documents: DataFrame, windows: DataFrame, count: int) -> DataFrame:
 
 
 def verified(documents: DataFrame, hits: DataFrame, windows: DataFrame, count: int) -> DataFrame:
-    """(digest, at, n, items_id): the places whose words are those of the window, for each different text."""
-    places = hits.groupBy("digest").agg(F.collect_set(F.struct("at", "n", "hash")).alias("places"))
-    texts = documents.select(digest_of(F.col("text")).alias("digest"), "text").join(places, "digest").dropDuplicates(["digest"])
-    words = texts.select("digest", "places", words_of(F.col("text")).alias("words"))
+    """(digest, at, n, items_id): the places whose words are those of the window, for each different text.
+
+    Of equal texts the one with the smallest doc_id is read again. While the texts with hits are few enough their ids are
+    broadcast, so that only these texts are shuffled.
+    """
+    places = written(hits.groupBy("digest").agg(F.min("doc_id").alias("reader"), F.collect_set(F.struct("at", "n", "hash")).alias("places")), "places")
+    readers = places.select("digest", "reader")
+    texts = documents.select(F.col("doc_id").alias("reader"), digest_of(F.col("text")).alias("digest"), "text").alias("t")
+    same = F.expr("t.digest = r.digest AND t.reader <=> r.reader")
+    read = texts.join(_small(readers, places.count()).alias("r"), same, "left_semi").select("digest", "text").dropDuplicates(["digest"])
+    words = read.join(places, "digest").select("digest", "places", words_of(F.col("text")).alias("words"))
     found = F.expr(f"explode_outer(transform(places, p -> struct(p.at, p.n, p.hash, {gram_at('words', 'p.at', 'p.n')} AS gram)))")
-    places = words.select("digest", found.alias("p")).select("digest", "p.*")
-    return places.join(_small(windows, count), ["hash", "n", "gram"]).select("digest", "at", "n", "items_id")
+    grams = words.select("digest", found.alias("p")).select("digest", "p.*")
+    return grams.join(_small(windows, count), ["hash", "n", "gram"]).select("digest", "at", "n", "items_id")
 
 
 def _spans(places: DataFrame) -> DataFrame:
