@@ -9,7 +9,7 @@ import corpus_pipeline
 from ledgermend.llm.queries import ORACLE_SQL, QUERIES
 from ledgermend.llm.store import table, written
 
-TABLES = ("documents", "pages", "labels")
+TABLES = ("documents", "pages", "labels", "benchmark", "conversations")
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
@@ -28,7 +28,7 @@ def test_query_equals_its_sql(spark, data_root, name, sf):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark, data_root):
@@ -63,3 +63,21 @@ def test_near_copies_leave_one(spark, odd):
     rows = corpus_pipeline.near_duplicates(spark, odd, "")
     ids = [r.doc_id for r in rows.collect()]
     assert ids.count(0) == 1 and not {1, 2, 3} & set(ids) and 4 in ids and ids.count(None) == 3
+
+
+def test_unlike_texts_of_one_doc_id_stay(spark):
+    texts = ["one two three four five six seven", "other words that are here alone now", "a third text with words of its own"]
+    docs = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (2, texts[2]), (3, texts[0]), (1, texts[0])], "doc_id long, text string")
+    rows = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted((r.doc_id, r.text) for r in rows) == sorted([(1, texts[0]), (1, texts[1]), (2, texts[2])])
+
+
+def test_exact_dedup_stage_runs_again_alike(spark, odd):
+    first, second = (corpus_pipeline.exact_dedup(spark, odd, "").collect() for _ in range(2))
+    assert sorted(map(str, first)) == sorted(map(str, second)) != []
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("digest_index_")]
+
+
+def test_quality_rules_stage_counts_texts_once(spark, odd):
+    plan = corpus_pipeline.quality_rules(spark, odd, "")._jdf.queryExecution().executedPlan().toString()
+    assert "Arrow" not in plan and "Python" not in plan
