@@ -1,9 +1,10 @@
 """Alignment of two tokenisers over the same text, and how often their tokens are linked in the whole corpus.
 
 A is a byte-level BPE of the tokenizers library, B a sentencepiece model that puts a space before a text, so A is given space and
-text. Both are asked for the spans of their tokens: characters from A, bytes from B. Spans are coarse cuts: tokens that share a
-character (one character cut into several tokens, byte-fallback pieces) get their exact ends from decoded bytes, and
-every text's bytes are checked. Byte offsets where tokens of both end cut them into groups; tokens whose byte ranges overlap are linked.
+text. Tokens of whole characters end with their characters. Where tokens hold parts of a character (one that A cut into
+several tokens, B's byte-fallback pieces), the spans that both libraries report, characters from A and bytes from B's proto, are coarse cuts:
+tokens that share a character have one end in common, and their own ends are refined from their decoded bytes. Every text's bytes
+are checked against those of its tokens. Byte offsets where tokens of both end cut them into groups; tokens whose byte ranges overlap are linked.
 
 Neither tokeniser joins a character with a space after it (which is read off B's vocabulary; otherwise texts stay whole),
 so a text is aligned word by word, and each worker remembers the words that it has met.
@@ -15,6 +16,7 @@ that needs them, so no table that grows with the corpus is sent to every task.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 from collections.abc import Iterable, Iterator
@@ -76,6 +78,15 @@ def exact_ends(begin: int, span_ends: Iterable[int], sizes: Iterable[int]) -> li
     return ends
 
 
+def _whole(token: bytes) -> bool:
+    """Whether a token's bytes are whole characters."""
+    try:
+        token.decode()
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
 class Aligner:
     def __init__(self, path_a: str, path_b: str):
         self.a = tokenizers.Tokenizer.from_file(path_a)
@@ -92,7 +103,7 @@ class Aligner:
             piece = self.b.id_to_piece(number)
             byte = _FALLBACK.fullmatch(piece)
             self.bytes_b.append(bytes([int(byte[1], 16)]) if byte else piece.replace(SPACE, " ").encode())
-        self.fallback = np.array([bool(_FALLBACK.fullmatch(self.b.id_to_piece(number))) for number in range(len(self.bytes_b))])
+        self.parts_a, self.parts_b = (np.array([not _whole(token) for token in table], int) for table in (self.bytes_a, self.bytes_b))
         # Where no entry goes on after a space that ends a word, words can be encoded one by one.
         self.by_word = not any(" " in entry.lstrip(b" ").decode("utf-8", "replace") for entry in self.bytes_b)
         self.sizes_a, self.sizes_b = np.array(list(map(len, self.bytes_a))), np.array(list(map(len, self.bytes_b)))
@@ -120,21 +131,21 @@ class Aligner:
     def _ends(self, words: list[str], encoded: list, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The byte where each token of A and B ends, in the joined bytes of the words.
 
-        In ASCII words without byte-fallback pieces a token's characters are its bytes. The other words are cut by the tokenisers'
-        spans, characters from A and bytes from B, refined where tokens share a character.
+        A token of whole characters ends with its characters. Words with tokens that hold parts of a character are cut by
+        the tokenisers' spans, characters from A and bytes from B, and refined where tokens share a character.
         """
         sizes_a, sizes_b = self.sizes_a[a], self.sizes_b[b]
         ends_a, ends_b = np.cumsum(sizes_a), np.cumsum(sizes_b)
         of_a, of_b = np.concatenate([[0], np.cumsum(n_a)]), np.concatenate([[0], np.cumsum(n_b)])
-        falls = np.add.reduceat(self.fallback[b], of_b[:-1]) > 0
-        odd = [k for k, (word, fall) in enumerate(zip(words, falls.tolist(), strict=True)) if fall or not word.isascii()]
-        protos = self.b.encode([words[k][1:] for k in odd], return_type="proto", num_threads=1)
-        begins = np.concatenate([[0], ends_a])[of_a[:-1]]
-        for k, proto in zip(odd, protos, strict=True):
-            byte_of = [0, *accumulate(map(len, map(str.encode, words[k])))]
-            own_a, own_b = slice(of_a[k], of_a[k + 1]), slice(of_b[k], of_b[k + 1])
-            ends_a[own_a] = exact_ends(begins[k], (byte_of[end] for _, end in encoded[k].offsets), sizes_a[own_a].tolist())
-            ends_b[own_b] = exact_ends(begins[k], (piece.end + 1 for piece in proto.pieces), sizes_b[own_b].tolist())  # 1: the space that B adds
+        begins = np.concatenate([[0], ends_a])[of_a[:-1]].tolist()
+        odd_a = np.flatnonzero(np.add.reduceat(self.parts_a[a], of_a[:-1])).tolist()
+        odd_b = np.flatnonzero(np.add.reduceat(self.parts_b[b], of_b[:-1])).tolist()
+        for k in odd_a:
+            byte_of, own = [0, *accumulate(map(len, map(str.encode, words[k])))], slice(of_a[k], of_a[k + 1])
+            ends_a[own] = exact_ends(begins[k], (byte_of[end] for _, end in encoded[k].offsets), sizes_a[own].tolist())
+        for k, proto in zip(odd_b, self.b.encode([words[k][1:] for k in odd_b], return_type="proto", num_threads=1), strict=True):
+            own = slice(of_b[k], of_b[k + 1])  # B's spans begin behind the space that it adds
+            ends_b[own] = exact_ends(begins[k], (piece.end + 1 for piece in proto.pieces), sizes_b[own].tolist())
         return ends_a, ends_b
 
     def _aligned(self, words: list[str], ids_a: list, ids_b: list, encoded: list) -> Iterator[Aligned]:
@@ -247,7 +258,11 @@ def aligned(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
         # Blocks are numbered within partitions; a repeated task numbers them alike.
         number, align = TaskContext.get().partitionId() << 32, aligner(path_a, path_b).align
         for batch in parts_of(batches, most=BLOCK_BYTES):
-            yield from _block(number, batch["doc_id"], align(batch["text"].to_pylist()))
+            gc.disable()  # millions of small objects, none of them in a cycle
+            try:
+                yield from _block(number, batch["doc_id"], align(batch["text"].to_pylist()))
+            finally:
+                gc.enable()
             number += 1
 
     kinds = {"block": "long", "doc_id": "long", **dict.fromkeys(_COUNTS, "long"), "groups": "string", "links": "binary", "pairs": "array<long>", "times": "array<long>"}
