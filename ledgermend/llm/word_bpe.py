@@ -15,8 +15,8 @@ from functools import lru_cache
 import numpy as np
 import tokenizers
 
-KEPT_WORDS, KEPT_PIECES = 1 << 16, 1 << 18
-"""Words and pieces whose ids a worker keeps; others are encoded whenever they occur."""
+KEPT_WORDS, KEPT_PIECES = 1 << 18, 1 << 17
+"""Words and pieces in each of the two generations that a worker keeps."""
 
 #: Letters that are their own composed form and have one lower-case letter: Latin-1 without signs.
 _LETTER = "a-zß-öø-ÿ"
@@ -36,15 +36,24 @@ def _byte_letters() -> dict[int, str]:
 BYTE_LETTERS = "".join(letter for _, letter in sorted(_byte_letters().items()))
 
 
-class _Memo(dict):
-    """The results of a function of a string, the first `most` of them kept."""
+class Generations(dict):
+    """The results of a function of a string: those asked for lately, in two generations of at most `most`.
 
-    def __init__(self, compute, most: int):
-        self.compute, self.most = compute, most
+    When the young generation is full it becomes the old one, whose entries come back when asked for. So what is
+    asked for often stays, and what occurs once goes.
+    """
 
-    def __missing__(self, key: str) -> bytes:
-        value = self.compute(key)
-        if len(self) < self.most and len(key) < 100:
+    def __init__(self, compute, most: int):
+        self.compute, self.most, self.old = compute, most, {}
+
+    def __missing__(self, key: str):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(key) < 100:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
             self[key] = value
         return value
 
@@ -55,8 +64,8 @@ class WordBpe:
         added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
         self.model = self.tokenizer.model
-        self.words = _Memo(self._word, KEPT_WORDS)
-        self.pieces = _Memo(self._piece, KEPT_PIECES)
+        self.words = Generations(self._word, KEPT_WORDS)
+        self.pieces = Generations(self._piece, KEPT_PIECES)
 
     def _piece(self, piece: str) -> bytes:
         letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_LETTERS)

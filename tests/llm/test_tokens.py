@@ -13,12 +13,12 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgermend.llm import packing
-from ledgermend.llm.byte_bpe import PIECE, decoded, encode, encoded, encoding, pieces
+from ledgermend.llm.byte_bpe import PIECE, decoded, encode, encoded, encoding, pieces, round_trip
 from ledgermend.llm.files import MANIFEST, filesystem
 from ledgermend.llm.packing import cheapest_cuts, pack, places
 from ledgermend.llm.pfor import BLOCK, Reader, Writer, pack_block, read_ids, unpack_block, write_ids
 from ledgermend.llm.store import new_path
-from ledgermend.llm.word_bpe import word_bpe
+from ledgermend.llm.word_bpe import Generations, word_bpe
 
 RANKS = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -200,3 +200,21 @@ def test_places_leave_no_long_gap():
     at, costs = places(ids, np.array([300, 1000]), np.zeros(1, bool))
     assert at[0] == 0 and at[-1] == 1000 and np.diff(at).max() <= packing.STEP
     assert costs[at == 300] == 0 and costs[at == 32] == packing.INNER_CUT
+
+
+def test_ids_and_bytes_of_one_pass(odd, none):
+    both = odd.select("text", round_trip(F.col("text"), *RANKS).alias("of"))
+    for row in both.collect():
+        assert bytes(row.of.bytes) == (row.text or "").encode() and row.of.ids == encode(row.text, *RANKS).tolist()
+    plan = both.select(F.size("of.ids"), F.sha2("of.bytes", 256))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("both(") <= 2
+    assert none.select(round_trip(F.col("text"), *RANKS)).collect() == []
+
+
+def test_what_is_asked_for_often_is_remembered():
+    asked = []
+    memo = Generations(lambda key: asked.append(key) or len(key), 10)
+    for k in range(300):
+        assert memo["often"] == 5 and memo[f"once{k}"] == len(f"once{k}")
+    assert asked.count("often") == 1 and len(asked) == 301 and len(memo) + len(memo.old) <= 20
+    assert memo["x" * 1000] == 1000 and "x" * 1000 not in memo
