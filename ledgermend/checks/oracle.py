@@ -363,11 +363,6 @@ ORACLE_SQL: dict[str, str] = {
         f"""SELECT customer_id, {_id_list('reference_number')} AS reference_number, {_id_list('contract_id')} AS contract_id
             FROM refs GROUP BY customer_id"""
     ),
-    "id_list_bitmaps": _query(
-        f"""SELECT customer_id, {_id_list('DISTINCT reference_number')} AS reference_number,
-                {_id_list('DISTINCT contract_id')} AS contract_id
-            FROM refs GROUP BY customer_id"""
-    ),
     "report_by_period": _query(
         _REPORT.replace('" ARR LCU TTL Customer Movement "', '"ARR LCU TTL Customer Movement"').replace("SELECT ", "SELECT '1997Q4' AS period, ", 1)
     ),
