@@ -2,26 +2,32 @@
 
 The vocabulary's normaliser folds white space and letters, its pre-tokeniser cuts a text into pieces,
 and the merges of a piece depend on nothing else. Pieces repeat far more than texts, so each worker keeps the
-ids of the pieces that it has met. Words of plain letters, digits and marks are cut here; any other word,
-and any that holds an added token such as <|endoftext|>, goes through the whole tokeniser. A word ends at an ASCII space, which no piece holds and which normalisation
+ids of the pieces that it has met, and gives the library's model a text's new pieces at once, with spaces between. Runs of words of
+plain letters, digits and marks are cut into pieces here; any other word, and any that may hold an added token such as
+<|endoftext|>, goes through the whole tokeniser. A word ends at an ASCII space, which no piece holds and which normalisation
 leaves alone.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
 import tokenizers
 
-KEPT_WORDS, KEPT_PIECES = 1 << 18, 1 << 17
+KEPT_WORDS, KEPT_PIECES = 1 << 16, 1 << 18
 """Words and pieces in each of the two generations that a worker keeps."""
 
 #: Letters that are their own composed form and have one lower-case letter: Latin-1 without signs.
 _LETTER = "a-zß-öø-ÿ"
-_PLAIN = re.compile(rf"[\x21-\x7e{_LETTER}À-ÖØ-Þ]*")
-_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^\s0-9{_LETTER}]+")
+_PLAIN = rf"\x21-\x7e{_LETTER}À-ÖØ-Þ"
+_ALL_PLAIN = re.compile(rf"[ \t\n\r{_PLAIN}]*")
+_RUNS = re.compile(rf"((?:[{_PLAIN}]++(?=[ \t\n\r]|\Z)|[ \t\n\r]++)++)|([^ \t\n\r]+)")
+"""Plain words with the spaces between them, or one other word."""
+
+_PIECES = re.compile(rf"[{_LETTER}]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\s0-9{_LETTER}]+")
 _WORDS = re.compile(r"[^ \t\n\r]+")
 _CHUNK = 1 << 16
 
@@ -34,6 +40,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 BYTE_LETTERS = "".join(letter for _, letter in sorted(_byte_letters().items()))
+_LETTERS = {byte: letter for byte, letter in enumerate(BYTE_LETTERS) if byte != ord(" ")}
 
 
 class Generations(dict):
@@ -58,26 +65,72 @@ class Generations(dict):
         return value
 
 
+class JointGenerations:
+    """Like Generations, for a function of many strings at once that costs less than one by one; `most` is exceeded by one call's keys."""
+
+    def __init__(self, compute, most: int):
+        self.compute, self.most = compute, most
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def joined(self, keys: list[str]) -> bytes:
+        """The results of all keys, one behind the other."""
+        if len(self.young) >= self.most:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        found = list(map(young.get, keys))
+        if None not in found:
+            return b"".join(found)
+        places = [place for place, value in enumerate(found) if value is None]
+        new = []
+        for key in dict.fromkeys(keys[place] for place in places):
+            if key in old:
+                young[key] = old[key]
+            else:
+                new.append(key)
+        if new:
+            young.update(zip(new, self.compute(new), strict=True))
+        for place in places:
+            found[place] = young[keys[place]]
+        for key in new:
+            if len(key) >= 100:
+                del young[key]
+        return b"".join(found)
+
+
 class WordBpe:
     def __init__(self, path: str):
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
-        added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
-        self.model = self.tokenizer.model
+        self.added = [token.content.lower() for token in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # the tokens that end a piece
+        self.last[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
+        # The model alone, for pieces as byte letters between spaces.
+        self.model = tokenizers.Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = tokenizers.pre_tokenizers.WhitespaceSplit()
         self.words = Generations(self._word, KEPT_WORDS)
-        self.pieces = Generations(self._piece, KEPT_PIECES)
-
-    def _piece(self, piece: str) -> bytes:
-        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_LETTERS)
-        return np.array([token.id for token in self.model.tokenize(letters)], "<u4").tobytes()
+        self.pieces = JointGenerations(self._pieces, KEPT_PIECES)
 
     def _word(self, word: str) -> bytes:
-        if _PLAIN.fullmatch(word) and not self.added.search(word):
-            return b"".join(map(self.pieces.__getitem__, _PIECES.findall(word.lower())))
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _pieces(self, pieces: list[str]) -> Iterable[bytes]:
+        text = " ".join(pieces)
+        letters = text if text.isascii() else text.encode().decode("latin-1").translate(_LETTERS)
+        ids = np.array(self.model.encode(letters, add_special_tokens=False).ids, "<u4")
+        data, stops = ids.tobytes(), (4 * np.flatnonzero(self.last[ids]) + 4).tolist()
+        return (data[start:stop] for start, stop in zip([0, *stops[:-1]], stops, strict=True))
+
+    def _run(self, plain: str, other: str) -> bytes:
+        lower = plain.lower()
+        if other or any(token in lower for token in self.added):
+            return b"".join(map(self.words.__getitem__, _WORDS.findall(plain or other)))
+        return self.pieces.joined(_PIECES.findall(lower))
+
     def _chunk(self, text: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, _WORDS.findall(text)))
+        if _ALL_PLAIN.fullmatch(text):
+            return self._run(text, "")
+        return b"".join(self._run(*run) for run in _RUNS.findall(text))
 
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of a whole text, without special tokens; null counts as empty."""

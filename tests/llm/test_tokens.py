@@ -6,8 +6,9 @@ import io
 
 import numpy as np
 import pyarrow as pa
-import pytest
 import public_tokenizers
+import pytest
+import tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -18,10 +19,11 @@ from ledgermend.llm.files import MANIFEST, filesystem
 from ledgermend.llm.packing import cheapest_cuts, pack, places
 from ledgermend.llm.pfor import BLOCK, Reader, Writer, pack_block, read_ids, unpack_block, write_ids
 from ledgermend.llm.store import new_path
-from ledgermend.llm.word_bpe import Generations, word_bpe
+from ledgermend.llm.word_bpe import Generations, JointGenerations, word_bpe
 
 RANKS = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 WORDS = public_tokenizers.path("word_bpe_49k.json")
+PLAIN = tokenizers.Tokenizer.from_file(WORDS)
 ANY = st.text(alphabet=st.sampled_from("abzABZ019 '\n\t.,!stremvl’éÉßÀÿ÷×µªº ́\x1cİıΣς漢🙂<|>\x85 "), max_size=60)
 
 
@@ -218,3 +220,20 @@ def test_what_is_asked_for_often_is_remembered():
         assert memo["often"] == 5 and memo[f"once{k}"] == len(f"once{k}")
     assert asked.count("often") == 1 and len(asked) == 301 and len(memo) + len(memo.old) <= 20
     assert memo["x" * 1000] == 1000 and "x" * 1000 not in memo
+
+
+def test_many_at_once_are_remembered():
+    asked = []
+    memo = JointGenerations(lambda keys: asked.extend(keys) or [key.encode() for key in keys], 10)
+    for k in range(300):
+        keys = ["often", f"once{k}", "often", "x" * 1000]
+        assert memo.joined(keys) == "".join(keys).encode() and "x" * 1000 not in memo.young
+    assert asked.count("often") == 1 and asked.count("x" * 1000) == 300 and len(asked) == 601
+    assert len(memo.young) + len(memo.old) <= 24 and memo.joined([]) == b""
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(ANY, max_size=4), st.sampled_from([" ", "\n", "", "<|endoftext|>", "<|ENDOFTEXT|>"]))
+def test_runs_of_plain_words_are_the_librarys(texts, between):
+    text = between.join(texts)
+    assert word_bpe(WORDS).encode(text).tolist() == PLAIN.encode(text, add_special_tokens=False).ids
