@@ -50,14 +50,15 @@ def sentence_ends(vocabulary: str) -> np.ndarray:
 
 def places(ids: np.ndarray, document_ends: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the line may be cut, from 0 to its end, and what each cut costs."""
-    sentences = np.flatnonzero(ends[np.minimum(ids, len(ends) - 1)]) + 1
-    fixed = np.unique(np.concatenate([[0], sentences, document_ends, [len(ids)]]))
-    gaps = np.diff(fixed)
-    long = np.flatnonzero(gaps > STEP)
-    steps = [np.arange(fixed[k] + STEP, fixed[k + 1], STEP) for k in long]
-    at = np.unique(np.concatenate([fixed, *steps]))
-    costs = np.full(len(at), INNER_CUT)
-    costs[np.searchsorted(at, sentences)] = SENTENCE_CUT
+    sentence, cut = np.zeros(len(ids) + 1, bool), np.zeros(len(ids) + 1, bool)
+    sentence[1:] = ends.take(ids, mode="clip")
+    cut[[0, -1]] = cut[document_ends] = True
+    fixed = np.flatnonzero(cut | sentence)
+    steps = (np.diff(fixed) - 1) // STEP  # inside each gap
+    number = np.arange(steps.sum()) - np.repeat(np.cumsum(steps) - steps, steps) + 1
+    cut[np.repeat(fixed[:-1], steps) + STEP * number] = True
+    at = np.flatnonzero(cut | sentence)
+    costs = np.where(sentence[at], SENTENCE_CUT, INNER_CUT)
     costs[np.searchsorted(at, document_ends)] = 0
     costs[-1] = 0
     return at, costs
