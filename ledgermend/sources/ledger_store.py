@@ -32,8 +32,13 @@ SCHEMA = T.StructType(
 
 
 def day_sums(ledger: DataFrame) -> DataFrame:
-    """The sums of ledger rows that the store holds; rows without a day can be in no period and are left out."""
-    rows = ledger_rows(ledger).withColumn(DAY, F.col(DAY).cast("date")).where(f"{DAY} IS NOT NULL")
+    """The sums of ledger rows that the store holds; rows without a day can be in no period and are left out.
+
+    Tasks take the rows by ranges of day and customer, which serve the sums too, so one shuffle does. A task then writes few
+    days, a large day is shared by several tasks, and the days' files are at most as many as days and tasks, not days times tasks.
+    """
+    dated = ledger.withColumn(DAY, F.col(DAY).cast("date")).where(f"{DAY} IS NOT NULL")
+    rows = ledger_rows(dated.repartitionByRange(DAY, KEY))
     return rows.groupBy(*_GROUP).agg(*(F.sum(name).alias(name) for name in _PARTS)).select(*SCHEMA.names)
 
 

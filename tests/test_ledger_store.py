@@ -92,3 +92,14 @@ def test_the_drivers_tables(spark, data_root, tmp_path, monthly):
     store = LedgerStore(spark, str(tmp_path / "store"))
     store.add_days(ledger)
     assert rows(store.rollup(CONFIG, DRIVERS, monthly)) == rows(ledger_rollup(ledger, CONFIG, DRIVERS, monthly))
+
+
+def test_a_delivery_writes_few_files(spark, tmp_path):
+    """At most one file a day, and one more for each border between two tasks; days times tasks before."""
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # all 8 partitions stay, as with large tables
+    try:
+        LedgerStore(spark, str(tmp_path / "store")).add_days(spark.createDataFrame(made(4, range(0, 20), 6000), SCHEMA))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert 20 <= len(list((tmp_path / "store").rglob("*.parquet"))) <= 20 + 7
