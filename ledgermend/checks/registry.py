@@ -22,7 +22,7 @@ from ledgermend.plans import bookings, losses, reconciliation
 from ledgermend.sources.calendar import calendar, within_period
 from ledgermend.sources.contracts import ReconInputs, rejects
 from ledgermend.sources.ledger_store import LedgerStore
-from ledgermend.sources.periods_sink import read_periods, write_period
+from ledgermend.sources.periods_sink import computed_once, read_periods, write_period
 from ledgermend.sources.workspace import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -228,10 +228,10 @@ def id_list_chunks(tables: Tables) -> DataFrame:
 def report_by_period(tables: Tables) -> DataFrame:
     """The report written to its quarter of a table, twice, and read again."""
     path = new_path(tables.spark, "report")
-    report = reconciliation.reconcile(roles.inputs(tables), CONFIG)
-    write_period(report, path, "1997Q3")
-    for _ in range(2):
-        write_period(report, path, "1997Q4", most_change=0.1)
+    with computed_once(reconciliation.reconcile(roles.inputs(tables), CONFIG)) as report:
+        write_period(report, path, "1997Q3")
+        for _ in range(2):
+            write_period(report, path, "1997Q4", most_change=0.1)
     return read_periods(tables.spark, path, "1997Q4")
 
 

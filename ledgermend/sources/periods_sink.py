@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,17 @@ class RowCountError(ValueError):
     """A period's rows are not what they should be; what the table had stays."""
 
 
+@contextmanager
+def computed_once(report: DataFrame) -> Iterator[DataFrame]:
+    """The report from a table of its own, for several calls of ``write_period``, each of which would compute it anew."""
+    spark = report.sparkSession
+    path = new_path(spark, "report-once")
+    try:
+        yield written(_without_odd_names(report), path)
+    finally:
+        delete(spark, path)
+
+
 def write_period(report: DataFrame, path: str, period: str, least: int = 1, most_change: float | None = None) -> int:
     """Replaces the partition of ``period`` in the Parquet table at ``path`` by the rows of ``report``; returns their number.
 
