@@ -103,3 +103,20 @@ def test_a_delivery_writes_few_files(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     assert 20 <= len(list((tmp_path / "store").rglob("*.parquet"))) <= 20 + 7
+
+
+def test_months_from_few_files(spark, tmp_path):
+    """One large day is shared by tasks, the rows are placed once, and the monthly losses are the whole ledger's."""
+    frame = spark.createDataFrame(made(5, range(100, 103), 6000), SCHEMA)
+    plan = day_sums(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and plan.count("Exchange rangepartitioning") == 1
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        store = LedgerStore(spark, str(tmp_path / "store"))
+        store.add_days(frame)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    files = list((tmp_path / "store").rglob("*.parquet"))
+    assert 3 < len(files) <= 3 + 7
+    assert rows(store.rollup(CONFIG, DRIVERS, MONTHLY)) == rows(ledger_rollup(frame, CONFIG, DRIVERS, MONTHLY)) != []
