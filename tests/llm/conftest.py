@@ -65,3 +65,12 @@ def odd(spark, odd_rows):
 @pytest.fixture(scope="session")
 def none(spark):
     return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(autouse=True, scope="module")
+def no_index_tables_stay(spark):
+    """Takes the index tables that a module's tests left open out of the catalog, which all modules share."""
+    yield
+    for left in spark.catalog.listTables():
+        if left.name.startswith("digest_index_"):
+            spark.sql(f"DROP TABLE {left.name}")
